@@ -295,7 +295,7 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         STATION_STATUS_SCHEMA,
         folder,
         lambda status: history_sink(
-            status, f"{folder}/history", f"{folder}/checkpoint", files_per_hour=1
+            status, f"{folder}/history", f"{folder}/checkpoint", rebalance=True
         ),
     )
     return zoneless(read_history(spark, f"{folder}/history"))

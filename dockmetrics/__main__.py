@@ -30,7 +30,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--root", required=True)
     stream.add_argument("--history", required=True)
     stream.add_argument("--window", help="tumbling window of the rollups, such as '1 minute'")
-    stream.add_argument("--files-per-hour", type=int)
+    stream.add_argument("--rebalance-history", action="store_true", help="for backfills")
 
     for job in (ingest, stream):
         job.add_argument("--source", choices=["kafka", "files", "documents"], default="kafka")
@@ -78,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
             history_path=args.history,
             checkpoints=args.checkpoints,
             window=args.window,
-            files_per_hour=args.files_per_hour,
+            rebalance_history=args.rebalance_history,
             available_now=args.available_now,
         )
         queries = run_stream_job(spark, conf)

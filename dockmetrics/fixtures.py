@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+_SECONDS = "(unix_date(cast(ts as date)) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + second(ts))"
 
 
 def _events(spark: SparkSession, sf_dir: str, tick: int = 60) -> DataFrame:
@@ -19,8 +20,7 @@ def _events(spark: SparkSession, sf_dir: str, tick: int = 60) -> DataFrame:
         "event_type",
         "value",
         "cast(get_json_object(props, '$.k') as int) as k",
-        f"cast(floor(timestampdiff(SECOND, {_EPOCH}, ts) / {tick}) * {tick} as int)"
-        " as last_reported",
+        f"{_SECONDS} - pmod({_SECONDS}, {tick}) as last_reported",
     )
 
 

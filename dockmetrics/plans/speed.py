@@ -44,7 +44,7 @@ class StreamConf:
     window: str | None = None
     top: int = 3
     latest_per_bike: bool = True
-    files_per_hour: int | None = None
+    rebalance_history: bool = False
     available_now: bool = False
 
 
@@ -135,7 +135,7 @@ def run_stream_job(spark: SparkSession, conf: StreamConf) -> dict[str, Streaming
         ),
     }
     history = history_sink(
-        status, conf.history_path, checkpoint("history"), files_per_hour=conf.files_per_hour
+        status, conf.history_path, checkpoint("history"), rebalance=conf.rebalance_history
     )
 
     def start(writer: DataStreamWriter, every: str) -> StreamingQuery:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from dockmetrics.model import TableSpec
@@ -94,19 +93,19 @@ def replace_sink(
 
 
 def history_sink(
-    status: DataFrame, path: str, checkpoint: str, *, files_per_hour: int | None = None
+    status: DataFrame, path: str, checkpoint: str, *, rebalance: bool = False
 ) -> DataStreamWriter:
     """Append status records to the history by UTC date and hour, exactly once.
 
-    Without ``files_per_hour`` tasks write what they read and nothing is
-    shuffled, best while a trigger spans an hour or two. A backfill over many
-    days would give every task a file per hour; then deal each hour's rows over
-    that many tasks, by a hash of the row.
+    By default tasks write what they read and nothing is shuffled, right while a
+    trigger spans an hour or two and has few tasks. A backfill over many days, or
+    a topic of very many partitions, would leave a small file per task and hour;
+    ``rebalance`` then lets the adaptive planner gather each hour into files of
+    the advisory size and split an hour that is far larger than the others.
     """
     rows = history_rows(status)
-    if files_per_hour:
-        slot = F.pmod(F.xxhash64("station_id", "last_reported"), F.lit(files_per_hour))
-        rows = rows.repartition("day", "hour", slot)
+    if rebalance:
+        rows = rows.hint("rebalance", "day", "hour")
     return (
         rows.writeStream.format("parquet")
         .outputMode("append")
