@@ -68,17 +68,12 @@ def _as_messages(df: DataFrame) -> DataFrame:
 def _time_slices(records: DataFrame, slices: int = 3) -> list[DataFrame]:
     """The records cut into consecutive spans of event time."""
     shares = [i / slices for i in range(1, slices)]
-    cuts = records.agg(F.percentile_approx("last_reported", shares, 100)).first()[0]
-    edges = [None, *sorted(set(cuts)), None]
-    spans = []
-    for low, high in zip(edges, edges[1:]):
-        span = records
-        if low is not None:
-            span = span.filter(F.col("last_reported") >= low)
-        if high is not None:
-            span = span.filter(F.col("last_reported") < high)
-        spans.append(span)
-    return spans
+    cuts = records.agg(F.percentile_approx("last_reported", shares, 100)).first()[0] or []
+    second = F.coalesce("last_reported", F.lit(0)).cast("long")
+    edges = [-(2**31), *sorted(set(cuts)), 2**31]
+    return [
+        records.filter((second >= low) & (second < high)) for low, high in zip(edges, edges[1:])
+    ]
 
 
 def _replay(

@@ -9,6 +9,7 @@ from datetime import UTC, datetime
 
 from dockmetrics.plans import (
     StreamConf,
+    keep_running,
     run_daily_job,
     run_ingest_job,
     run_stream_job,
@@ -70,19 +71,22 @@ def main(argv: list[str] | None = None) -> int:
     topics = SourceConf(args.source, args.location)
     if args.job == "ingest":
         documents = SourceConf("documents", args.documents)
-        queries = run_ingest_job(spark, documents, topics, args.checkpoints, args.available_now)
+        wait(run_ingest_job(spark, documents, topics, args.checkpoints, args.available_now))
+        return 0
+    conf = StreamConf(
+        source=topics,
+        root=args.root,
+        history_path=args.history,
+        checkpoints=args.checkpoints,
+        window=args.window,
+        rebalance_history=args.rebalance_history,
+        available_now=args.available_now,
+    )
+    queries = run_stream_job(spark, conf)
+    if conf.available_now:
+        wait(queries)
     else:
-        conf = StreamConf(
-            source=topics,
-            root=args.root,
-            history_path=args.history,
-            checkpoints=args.checkpoints,
-            window=args.window,
-            rebalance_history=args.rebalance_history,
-            available_now=args.available_now,
-        )
-        queries = run_stream_job(spark, conf)
-    wait(spark, queries, args.available_now)
+        keep_running(spark, conf, queries)
     return 0
 
 

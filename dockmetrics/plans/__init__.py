@@ -2,11 +2,18 @@
 
 from dockmetrics.plans.daily import DailyRun, preview, run_daily_job
 from dockmetrics.plans.serving import snapshot
-from dockmetrics.plans.speed import StreamConf, run_ingest_job, run_stream_job, wait
+from dockmetrics.plans.speed import (
+    StreamConf,
+    keep_running,
+    run_ingest_job,
+    run_stream_job,
+    wait,
+)
 
 __all__ = [
     "DailyRun",
     "StreamConf",
+    "keep_running",
     "preview",
     "run_daily_job",
     "run_ingest_job",

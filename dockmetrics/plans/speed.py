@@ -6,6 +6,7 @@ from dataclasses import dataclass, replace
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from dockmetrics.model import (
@@ -19,10 +20,12 @@ from dockmetrics.model import (
     STATION_INFORMATION,
     STATION_STATUS,
     STATION_STATUS_WINDOWED,
+    TableSpec,
 )
 from dockmetrics.operators.bikes import abandoned_count, bike_situation, top_range
 from dockmetrics.operators.stations import network_status, station_dimension
 from dockmetrics.sources.feeds import SourceConf, decode, explode_feed, publish, read_topic
+from dockmetrics.sources.files import remove_tree
 from dockmetrics.sources.tables import ensure_tables, read_table
 from dockmetrics.streaming.sinks import history_sink, replace_sink, upsert_sink
 
@@ -66,104 +69,135 @@ def _dimension_writer(spark: SparkSession, conf: StreamConf) -> DataStreamWriter
     )
 
 
+def _stations(spark: SparkSession, conf: StreamConf) -> DataFrame:
+    return read_table(spark, conf.root, STATION_DIMENSION)
+
+
 def _frozen_dimension(spark: SparkSession, conf: StreamConf) -> DataFrame:
     """A copy of the dimension for the stateful rollup.
 
     Its join is part of the streaming plan, which keeps the file list it started
-    with; the table's own files may be folded away while the query runs.
+    with; the table's own files may be folded away while the query runs. Copies
+    of earlier starts are no longer read by then.
     """
-    path = f"{conf.checkpoints}/dimension_copies/{uuid4().hex}"
-    read_table(spark, conf.root, STATION_DIMENSION).write.parquet(path)
+    copies = f"{conf.checkpoints}/dimension_copies"
+    remove_tree(spark, copies)
+    path = f"{copies}/{uuid4().hex}"
+    _stations(spark, conf).write.parquet(path)
     return spark.read.schema(STATION_DIMENSION.schema).parquet(path)
 
 
+def _start(conf: StreamConf, writer: DataStreamWriter, every: str) -> StreamingQuery:
+    if conf.available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=every).start()
+
+
+def _start_status_rollup(spark: SparkSession, conf: StreamConf) -> StreamingQuery:
+    totals = network_status(
+        _records(spark, conf.source, STATION_STATUS),
+        _frozen_dimension(spark, conf),
+        window=conf.window,
+        watermark=conf.watermark,
+    )
+    checkpoint = f"{conf.checkpoints}/station_status"
+    writer = upsert_sink(totals, conf.root, STATION_STATUS_WINDOWED, checkpoint)
+    return _start(conf, writer, conf.trigger)
+
+
 def run_stream_job(spark: SparkSession, conf: StreamConf) -> dict[str, StreamingQuery]:
     """Start the six queries and return them by name.
 
     The station dimension is first brought up to date, then read: once for the
-    status rollup, whose stations are thus those known at its (re)start, and
-    afresh in every micro-batch of the two bike snapshots.
+    status rollup, whose stations are those known when it (re)starts, and afresh
+    in every micro-batch of the two bike snapshots. ``keep_running`` restarts
+    the rollup when the stations change.
     """
     ensure_tables(spark, conf.root, RESULT_TABLES.values())
     drained = _dimension_writer(spark, conf).trigger(availableNow=True).start()
     drained.awaitTermination()
 
-    status = _records(spark, conf.source, STATION_STATUS)
     bikes = _records(spark, conf.source, FREE_BIKE_STATUS)
 
-    def stations(batch: DataFrame) -> DataFrame:
-        return read_table(batch.sparkSession, conf.root, STATION_DIMENSION)
-
-    def checkpoint(name: str) -> str:
-        return f"{conf.checkpoints}/{name}"
-
-    rollups = {
-        "station_status": upsert_sink(
-            network_status(
-                status,
-                _frozen_dimension(spark, conf),
-                window=conf.window,
-                watermark=conf.watermark,
-            ),
-            conf.root,
-            STATION_STATUS_WINDOWED,
-            checkpoint("station_status"),
-        ),
-        "abandoned_bikes": upsert_sink(
-            abandoned_count(bikes, window=conf.window, watermark=conf.watermark),
-            conf.root,
-            BIKE_STATUS,
-            checkpoint("abandoned_bikes"),
+    def situations(batch: DataFrame) -> DataFrame:
+        return bike_situation(batch, _stations(batch.sparkSession, conf))
+
+    def most_charged(batch: DataFrame) -> DataFrame:
+        stations = _stations(batch.sparkSession, conf)
+        return top_range(batch, stations, conf.top, latest_per_bike=conf.latest_per_bike)
+
+    def snapshot_of_bikes(spec: TableSpec, prepare) -> DataStreamWriter:
+        checkpoint = f"{conf.checkpoints}/{spec.name}"
+        return replace_sink(bikes, conf.root, spec, checkpoint, prepare=prepare)
+
+    abandoned = upsert_sink(
+        abandoned_count(bikes, window=conf.window, watermark=conf.watermark),
+        conf.root,
+        BIKE_STATUS,
+        f"{conf.checkpoints}/abandoned_bikes",
+    )
+    history = history_sink(
+        _records(spark, conf.source, STATION_STATUS),
+        conf.history_path,
+        f"{conf.checkpoints}/history",
+        rebalance=conf.rebalance_history,
+    )
+    return {
+        "station_information": (
+            drained if conf.available_now else _dimension_writer(spark, conf).start()
         ),
-    }
-    snapshots = {
-        "bike_situation": replace_sink(
-            bikes,
-            conf.root,
-            BIKE_SITUATION,
-            checkpoint("bike_situation"),
-            prepare=lambda batch: bike_situation(batch, stations(batch)),
+        "station_status": _start_status_rollup(spark, conf),
+        "abandoned_bikes": _start(conf, abandoned, conf.trigger),
+        "bike_situation": _start(
+            conf, snapshot_of_bikes(BIKE_SITUATION, situations), conf.trigger
         ),
-        "most_charged_bikes": replace_sink(
-            bikes,
-            conf.root,
-            MOST_CHARGED_BIKES,
-            checkpoint("most_charged_bikes"),
-            prepare=lambda batch: top_range(
-                batch, stations(batch), conf.top, latest_per_bike=conf.latest_per_bike
-            ),
+        "most_charged_bikes": _start(
+            conf, snapshot_of_bikes(MOST_CHARGED_BIKES, most_charged), conf.trigger
         ),
+        "history": _start(conf, history, conf.history_trigger),
     }
-    history = history_sink(
-        status, conf.history_path, checkpoint("history"), rebalance=conf.rebalance_history
-    )
 
-    def start(writer: DataStreamWriter, every: str) -> StreamingQuery:
-        if conf.available_now:
-            return writer.trigger(availableNow=True).start()
-        return writer.trigger(processingTime=every).start()
 
-    queries = {name: start(writer, conf.trigger) for name, writer in (rollups | snapshots).items()}
-    queries["history"] = start(history, conf.history_trigger)
-    if conf.available_now:
-        queries["station_information"] = drained
-    else:
-        queries["station_information"] = _dimension_writer(spark, conf).start()
-    return queries
+def stations_digest(spark: SparkSession, conf: StreamConf) -> tuple:
+    """Number of stations and a hash of their rows, whatever their order."""
+    stations = _stations(spark, conf)
+    digest = stations.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*stations.columns)))
+    return tuple(digest.first())
 
 
-def wait(spark: SparkSession, queries: dict[str, StreamingQuery], available_now: bool) -> None:
-    """Wait for all queries of a bounded run; else until any of them ends, and
-    stop the others then."""
-    if available_now:
-        for query in queries.values():
-            query.awaitTermination()
-        return
+def keep_running(
+    spark: SparkSession,
+    conf: StreamConf,
+    queries: dict[str, StreamingQuery],
+    check_seconds: float = 60,
+) -> None:
+    """Until any query ends; then stop the others and raise that query's error.
+
+    Looks at the stations now and then. If they changed, the status rollup is
+    restarted on its checkpoint: it goes on with its state and offsets, and
+    counts the stations known by now.
+    """
+    known = stations_digest(spark, conf)
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries.values()):
+            ended = queries["station_status"].awaitTermination(check_seconds)
+            current = stations_digest(spark, conf)
+            if not ended and current != known:
+                queries["station_status"].stop()
+                queries["station_status"] = _start_status_rollup(spark, conf)
+                known = current
     finally:
         for query in queries.values():
             query.stop()
+    for query in queries.values():
+        if query.exception():
+            raise query.exception()
+
+
+def wait(queries: dict[str, StreamingQuery]) -> None:
+    """Until all queries of a bounded run are done; raises if one fails."""
+    for query in queries.values():
+        query.awaitTermination()
 
 
 def run_ingest_job(

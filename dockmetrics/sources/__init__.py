@@ -12,6 +12,7 @@ from dockmetrics.sources.feeds import (
 from dockmetrics.sources.history import (
     history_rows,
     parse_day,
+    read_day_of_month_history,
     read_history,
     union_history,
     write_history,
@@ -30,6 +31,7 @@ __all__ = [
     "next_run",
     "parse_day",
     "publish",
+    "read_day_of_month_history",
     "read_history",
     "read_table",
     "union_history",

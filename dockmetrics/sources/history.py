@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockmetrics.functions.time import with_event_time, with_partition_keys
 from dockmetrics.model import HISTORY_SCHEMA, STATION_STATUS_SCHEMA, require_columns
@@ -62,6 +63,26 @@ def read_history(
     return history
 
 
+def read_day_of_month_history(
+    spark: SparkSession, path: str, day: date | str | None = None
+) -> DataFrame:
+    """A history laid out as ``day=<dd>/hour=<HH>``, with the same columns as ours.
+
+    Such a folder mixes months. The day of month still prunes folders; the date
+    itself is taken from each row's event time.
+    """
+    columns = HISTORY_SCHEMA.fieldNames()
+    layout = T.StructType(
+        [*HISTORY_SCHEMA.fields[:-2], *(T.StructField(c, T.IntegerType()) for c in columns[-2:])]
+    )
+    history = spark.read.schema(layout).parquet(path)
+    if day is None:
+        return with_partition_keys(history).select(*columns)
+    day = parse_day(day)
+    month_days = history.filter(F.col("day") == day.day)
+    return with_partition_keys(month_days).select(*columns).filter(F.col("day") == F.lit(day))
+
+
 def parse_day(day: date | str) -> date:
     """A date, or ValueError for anything that is not ``yyyy-MM-dd``."""
     return day if isinstance(day, date) else date.fromisoformat(day)

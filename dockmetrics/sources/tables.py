@@ -68,15 +68,26 @@ def next_run(spark: SparkSession, root: str, spec: TableSpec) -> int:
     return 1 + max((int(folder.rsplit("=", 1)[1]) for folder in folders), default=0)
 
 
-def write_batch(df: DataFrame, root: str, spec: TableSpec, run: int, batch_id: int) -> None:
+def write_batch(
+    df: DataFrame,
+    root: str,
+    spec: TableSpec,
+    run: int,
+    batch_id: int,
+    tasks: int | None = None,
+) -> None:
     """Store ``df`` as one write of the table.
 
     Rows with a null key are left out: no keyed table can hold them. A replace
     table is reduced to one row per key here, a merge table when it is read.
+    ``tasks`` gathers the rows into that many files; without it every task that
+    computes rows writes its own.
     """
     rows = conform(df, spec).dropna(subset=list(spec.keys))
     if spec.mode == "replace":
         rows = latest_by_key(rows, spec.keys, spec.version)
+    if tasks:
+        rows = rows.repartition(tasks, *spec.keys)
     rows.write.mode("overwrite").parquet(write_path(root, spec, run, batch_id))
 
 

@@ -13,6 +13,7 @@ from dockmetrics.sources.history import history_rows
 from dockmetrics.sources.tables import compact, next_run, write_batch
 
 COMPACT_EVERY = 60
+WRITE_TASKS = 4
 
 Prepare = Callable[[DataFrame], DataFrame]
 
@@ -38,11 +39,13 @@ def _table_sink(
     prepare: Prepare | None,
     output_mode: str,
     compact_every: int,
+    write_tasks: int | None,
 ) -> DataStreamWriter:
     run = _run_of(df.sparkSession, root, spec, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(prepare(batch) if prepare else batch, root, spec, run, batch_id)
+        rows = prepare(batch) if prepare else batch
+        write_batch(rows, root, spec, run, batch_id, write_tasks)
         if compact_every and batch_id % compact_every == compact_every - 1:
             compact(batch.sparkSession, root, spec)
 
@@ -63,13 +66,19 @@ def upsert_sink(
     prepare: Prepare | None = None,
     output_mode: str = "update",
     compact_every: int = COMPACT_EVERY,
+    write_tasks: int | None = WRITE_TASKS,
 ) -> DataStreamWriter:
     """Merge each micro-batch into a table by key; rows of later batches win.
 
     Suits update mode: a rollup sends its running totals again, and they take
-    the place of the earlier ones.
+    the place of the earlier ones. A stateful query has one task per state
+    partition and is not planned adaptively, so its few rows per batch would
+    become as many files; ``write_tasks`` gathers them by key first. Raise it
+    for the catch-up over a long backlog.
     """
-    return _table_sink(df, root, spec, checkpoint, prepare, output_mode, compact_every)
+    return _table_sink(
+        df, root, spec, checkpoint, prepare, output_mode, compact_every, write_tasks
+    )
 
 
 def replace_sink(
@@ -89,7 +98,7 @@ def replace_sink(
     """
     if spec.mode != "replace":
         raise ValueError(f"{spec.name} is not a replace table")
-    return _table_sink(df, root, spec, checkpoint, prepare, output_mode, compact_every)
+    return _table_sink(df, root, spec, checkpoint, prepare, output_mode, compact_every, None)
 
 
 def history_sink(

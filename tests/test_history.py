@@ -5,8 +5,13 @@ from pathlib import Path
 
 import pytest
 
-from dockmetrics.sources import read_history, union_history, write_history
 from dockmetrics.model import HISTORY_SCHEMA
+from dockmetrics.sources import (
+    read_day_of_month_history,
+    read_history,
+    union_history,
+    write_history,
+)
 
 STATUS = "station_id string, num_bikes_available int, num_docks_available int, last_reported int"
 
@@ -81,6 +86,22 @@ def test_unreadable_files_are_skipped_or_reported(spark, history):
         read_history(spark, history, skip_unreadable=False).collect()
 
 
+def test_day_of_month_layout_is_read_by_full_date(spark, tmp_path, history, rows_of):
+    old = f"{tmp_path}/old"
+    rows = read_history(spark, history)
+    by_month_day = rows.selectExpr(
+        "* except (day, hour)", "date_format(day, 'dd') as day", "lpad(hour, 2, '0') as hour"
+    )
+    by_month_day.write.partitionBy("day", "hour").parquet(old)
+    assert (Path(old) / "day=05" / "hour=03").exists()
+    assert rows_of(read_day_of_month_history(spark, old)) == rows_of(rows)
+    one = read_day_of_month_history(spark, old, "2024-01-05")
+    assert ids(one) == ["s0", "s1"]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "= 5)" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert union_history([rows, read_day_of_month_history(spark, old)]).count() == 10
+
+
 def test_union_is_by_name_and_fills_missing_columns(spark):
     a = spark.createDataFrame([("x", 1)], "station_id string, n int")
     b = spark.createDataFrame([(2, "y")], "n int, station_id string")

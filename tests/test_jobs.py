@@ -1,6 +1,8 @@
 """Whole jobs: documents to topics, the six queries, daily figures, snapshot."""
 
 import json
+import threading
+import time
 from dataclasses import replace
 from datetime import UTC, datetime
 from pathlib import Path
@@ -18,6 +20,7 @@ from dockmetrics.model import (
 )
 from dockmetrics.plans import (
     StreamConf,
+    keep_running,
     preview,
     run_daily_job,
     run_ingest_job,
@@ -82,7 +85,7 @@ def documents(tmp_path):
 def topics(spark, tmp_path, documents):
     source = SourceConf("files", f"{tmp_path}/topics")
     queries = run_ingest_job(spark, documents, source, f"{tmp_path}/ck-ingest", available_now=True)
-    wait(spark, queries, available_now=True)
+    wait(queries)
     return source
 
 
@@ -106,7 +109,7 @@ def test_documents_to_snapshot(spark, tmp_path, request, through_topics):
     conf = stream_conf(tmp_path, source)
     queries = run_stream_job(spark, conf)
     assert len(queries) == 6
-    wait(spark, queries, available_now=True)
+    wait(queries)
 
     def table(name):
         return read_table(spark, conf.root, RESULT_TABLES[name])
@@ -172,10 +175,10 @@ def test_stream_job_goes_on_with_new_stations_after_a_restart(spark, tmp_path, l
     land(STATION_INFORMATION, [{"station_id": "a", "name": "A", "capacity": 1}])
     land(STATION_STATUS, [status("a", T0), status("new", T0)])
     land(FREE_BIKE_STATUS, ["junk"])
-    wait(spark, run_stream_job(spark, conf), available_now=True)
+    wait(run_stream_job(spark, conf))
     land(STATION_INFORMATION, [{"station_id": "new", "name": "N", "capacity": 9}])
     land(STATION_STATUS, [status("a", T0 + 60), status("new", T0 + 60)])
-    wait(spark, run_stream_job(spark, conf), available_now=True)
+    wait(run_stream_job(spark, conf))
     rollup = read_table(spark, conf.root, RESULT_TABLES["station_status_windowed"])
     assert values(rollup.selectExpr("unix_seconds(timestamp) s", "total_bikes_available"), "*") == [
         (T0, 1),
@@ -198,6 +201,53 @@ def test_stream_job_runs_on_triggers_until_stopped(spark, tmp_path, documents):
     assert read_table(spark, conf.root, RESULT_TABLES["bike_situation"]).count() == 3
 
 
+def test_new_stations_join_the_rollup_while_it_runs(spark, tmp_path, land):
+    conf = replace(
+        stream_conf(tmp_path, SourceConf("files", f"{tmp_path}/landing")),
+        available_now=False,
+        trigger="500 milliseconds",
+        history_trigger="500 milliseconds",
+    )
+
+    def status(station, second):
+        figures = {"num_bikes_available": 1, "num_docks_available": 1}
+        return {"station_id": station, "last_reported": second, **figures}
+
+    land(STATION_INFORMATION, [{"station_id": "a", "name": "A", "capacity": 1}])
+    land(STATION_STATUS, [status("a", T0), status("b", T0)])
+    land(FREE_BIKE_STATUS, ["junk"])
+    queries = run_stream_job(spark, conf)
+    first = queries["station_status"]
+    first.processAllAvailable()
+    failures = []
+
+    def supervise():
+        try:
+            keep_running(spark, conf, queries, check_seconds=1)
+        except Exception as error:
+            failures.append(error)
+
+    supervisor = threading.Thread(target=supervise)
+    supervisor.start()
+    try:
+        land(STATION_INFORMATION, [{"station_id": "b", "name": "B", "capacity": 9}])
+        for _ in range(120):
+            if queries["station_status"] is not first:
+                break
+            time.sleep(0.5)
+        land(STATION_STATUS, [status("a", T0 + 60), status("b", T0 + 60)])
+        queries["station_status"].processAllAvailable()
+    finally:
+        queries["history"].stop()
+        supervisor.join(120)
+    assert not failures and not any(query.isActive for query in queries.values())
+    rollup = read_table(spark, conf.root, RESULT_TABLES["station_status_windowed"])
+    assert values(rollup.selectExpr("unix_seconds(timestamp) s", "total_bikes_available"), "*") == [
+        (T0, 1),
+        (T0 + 60, 2),
+    ]
+
+
 def test_daily_job_without_history_writes_nothing(spark, tmp_path):
     run = run_daily_job(
         spark,

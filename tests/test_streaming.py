@@ -113,6 +113,24 @@ def test_update_stream_equals_batch(spark, tmp_path, land, stream, dimension, ro
     assert len(expected) == 3 and len(writes(spark, root, STATION_STATUS_WINDOWED)) >= 3
 
 
+def test_stream_with_a_dimension_too_large_to_broadcast(
+    spark, tmp_path, land, stream, dimension, rows_of
+):
+    land(STATION_STATUS, [report("a", i % 11, T0 + i % 3) for i in range(50)])
+    land(STATION_STATUS, [report("b", 5, T0 + 1), report("unknown", 5, T0)])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rollup = network_status(stream(STATION_STATUS), dimension, watermark="10 minutes")
+        assert "_slot" in rollup._jdf.queryExecution().toString()
+        drain(upsert_sink(rollup, str(tmp_path), STATION_STATUS_WINDOWED, f"{tmp_path}/ck"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    status = decode(spark.read.text(f"{tmp_path}/landing/{STATION_STATUS}"), STATION_STATUS_SCHEMA)
+    expected = rows_of(network_status(status, dimension))
+    assert rows_of(read_table(spark, str(tmp_path), STATION_STATUS_WINDOWED)) == expected
+
+
 def test_windowed_stream_equals_batch(spark, tmp_path, land, stream, dimension, rows_of):
     land(STATION_STATUS, [report("a", 1, T0 + 1), report("b", 2, T0 + 59)])
     land(STATION_STATUS, [report("a", 3, T0 + 30), report("b", 4, T0 + 60)])
