@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,26 +69,15 @@ def next_run(spark: SparkSession, root: str, spec: TableSpec) -> int:
     return 1 + max((int(folder.rsplit("=", 1)[1]) for folder in folders), default=0)
 
 
-def write_batch(
-    df: DataFrame,
-    root: str,
-    spec: TableSpec,
-    run: int,
-    batch_id: int,
-    tasks: int | None = None,
-) -> None:
-    """Store ``df`` as one write of the table.
-
-    Rows with a null key are left out: no keyed table can hold them. A replace
-    table is reduced to one row per key here, a merge table when it is read.
-    ``tasks`` gathers the rows into that many files; without it every task that
-    computes rows writes its own.
+def write_batch(df: DataFrame, root: str, spec: TableSpec, run: int, batch_id: int) -> None:
+    """Store ``df`` as one write of the table, one row per key.
+
+    Rows with a null key are left out: no keyed table can hold them. Copies of a
+    key are folded before the shuffle, and planned adaptively the files are as
+    few as the rows allow, however many tasks computed them.
     """
     rows = conform(df, spec).dropna(subset=list(spec.keys))
-    if spec.mode == "replace":
-        rows = latest_by_key(rows, spec.keys, spec.version)
-    if tasks:
-        rows = rows.repartition(tasks, *spec.keys)
+    rows = latest_by_key(rows, spec.keys, spec.version)
     rows.write.mode("overwrite").parquet(write_path(root, spec, run, batch_id))
 
 
@@ -130,17 +120,16 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     folded = bases(spark, root, spec)[-1:]
     if folded:
         done = [w for w in done if w.version > folded[0].version]
-    sides = [_read_parts(spark, f"{folder}/base", spec, folded)] if folded else []
+    parts = [_read_parts(spark, f"{folder}/base", spec, folded)] if folded else []
     if done:
-        sides.append(_read_parts(spark, folder, spec, done))
-    if not sides:
+        parts.append(_read_parts(spark, folder, spec, done))
+    if not parts:
         return spark.createDataFrame([], spec.schema)
-    if folded and not done:
-        return sides[0].select(*spec.columns)
-    versions = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
-    return latest_by_key(versions, spec.keys, ["run", "batch_id", *spec.version]).select(
-        *spec.columns
-    )
+    if len(folded) + len(done) == 1:
+        return parts[0].select(*spec.columns)
+    versions = reduce(DataFrame.unionByName, parts)
+    order = ["run", "batch_id", *spec.version]
+    return latest_by_key(versions, spec.keys, order).select(*spec.columns)
 
 
 def compact(spark: SparkSession, root: str, spec: TableSpec) -> None:

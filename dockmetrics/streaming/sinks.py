@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
@@ -13,7 +14,6 @@ from dockmetrics.sources.history import history_rows
 from dockmetrics.sources.tables import compact, next_run, write_batch
 
 COMPACT_EVERY = 60
-WRITE_TASKS = 4
 
 Prepare = Callable[[DataFrame], DataFrame]
 
@@ -31,6 +31,23 @@ def _run_of(spark: SparkSession, root: str, spec: TableSpec, checkpoint: str) ->
     return run
 
 
+@contextmanager
+def _adaptive(session: SparkSession) -> Iterator[None]:
+    """Adaptive planning for what is done with a micro-batch.
+
+    Spark turns it off in the session of a stateful query, whose own plan is fixed
+    by then; without it the few rows of a rollup would be written as one file
+    per state partition.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = session.conf.get(key)
+    session.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        session.conf.set(key, before)
+
+
 def _table_sink(
     df: DataFrame,
     root: str,
@@ -39,15 +56,14 @@ def _table_sink(
     prepare: Prepare | None,
     output_mode: str,
     compact_every: int,
-    write_tasks: int | None,
 ) -> DataStreamWriter:
     run = _run_of(df.sparkSession, root, spec, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare(batch) if prepare else batch
-        write_batch(rows, root, spec, run, batch_id, write_tasks)
-        if compact_every and batch_id % compact_every == compact_every - 1:
-            compact(batch.sparkSession, root, spec)
+        with _adaptive(batch.sparkSession):
+            write_batch(prepare(batch) if prepare else batch, root, spec, run, batch_id)
+            if compact_every and batch_id % compact_every == compact_every - 1:
+                compact(batch.sparkSession, root, spec)
 
     return (
         df.writeStream.outputMode(output_mode)
@@ -66,19 +82,13 @@ def upsert_sink(
     prepare: Prepare | None = None,
     output_mode: str = "update",
     compact_every: int = COMPACT_EVERY,
-    write_tasks: int | None = WRITE_TASKS,
 ) -> DataStreamWriter:
     """Merge each micro-batch into a table by key; rows of later batches win.
 
     Suits update mode: a rollup sends its running totals again, and they take
-    the place of the earlier ones. A stateful query has one task per state
-    partition and is not planned adaptively, so its few rows per batch would
-    become as many files; ``write_tasks`` gathers them by key first. Raise it
-    for the catch-up over a long backlog.
+    the place of the earlier ones.
     """
-    return _table_sink(
-        df, root, spec, checkpoint, prepare, output_mode, compact_every, write_tasks
-    )
+    return _table_sink(df, root, spec, checkpoint, prepare, output_mode, compact_every)
 
 
 def replace_sink(
@@ -98,7 +108,7 @@ def replace_sink(
     """
     if spec.mode != "replace":
         raise ValueError(f"{spec.name} is not a replace table")
-    return _table_sink(df, root, spec, checkpoint, prepare, output_mode, compact_every, None)
+    return _table_sink(df, root, spec, checkpoint, prepare, output_mode, compact_every)
 
 
 def history_sink(

@@ -110,7 +110,10 @@ def test_update_stream_equals_batch(spark, tmp_path, land, stream, dimension, ro
     status = decode(spark.read.text(f"{tmp_path}/landing/{STATION_STATUS}"), STATION_STATUS_SCHEMA)
     expected = rows_of(network_status(status, dimension))
     assert rows_of(read_table(spark, root, STATION_STATUS_WINDOWED)) == expected
-    assert len(expected) == 3 and len(writes(spark, root, STATION_STATUS_WINDOWED)) >= 3
+    done = writes(spark, root, STATION_STATUS_WINDOWED)
+    assert len(expected) == 3 and len(done) >= 3
+    # Four state partitions, but the rows of a batch are gathered.
+    assert all(len(list(Path(w.path.removeprefix("file:")).glob("*.parquet"))) == 1 for w in done)
 
 
 def test_stream_with_a_dimension_too_large_to_broadcast(
