@@ -18,6 +18,7 @@ from dockmetrics.plans import (
 )
 from dockmetrics.session import build_session
 from dockmetrics.sources import SourceConf, parse_day
+from dockmetrics.streaming import ProgressLog
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -40,7 +41,9 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--available-now", action="store_true")
 
     daily = jobs.add_parser("daily", help="per-station figures of one day")
-    daily.add_argument("day", type=parse_day, help="yyyy-MM-dd")
+    when = daily.add_mutually_exclusive_group(required=True)
+    when.add_argument("day", type=parse_day, nargs="?", help="yyyy-MM-dd")
+    when.add_argument("--day-of-month", type=int, choices=range(1, 32), metavar="1..31")
     daily.add_argument("--root", required=True)
     daily.add_argument("--history", required=True)
 
@@ -63,11 +66,13 @@ def main(argv: list[str] | None = None) -> int:
         run = run_daily_job(
             spark,
             args.day,
+            day_of_month=args.day_of_month,
             root=args.root,
             history_path=args.history,
             computed_at=datetime.now(UTC),
         )
         return 0 if run.row_count else 1
+    spark.streams.addListener(ProgressLog())
     topics = SourceConf(args.source, args.location)
     if args.job == "ingest":
         documents = SourceConf("documents", args.documents)

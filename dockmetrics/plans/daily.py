@@ -33,24 +33,31 @@ def preview(df: DataFrame, n: int = 5) -> list[Row]:
 
 def run_daily_job(
     spark: SparkSession,
-    day: date | str,
+    day: date | str | None = None,
     *,
+    day_of_month: int | None = None,
     root: str,
     history_path: str,
     computed_at: datetime,
 ) -> DailyRun:
     """Compute the day's figures and merge them into ``batch_station_status``.
 
-    ValueError if ``day`` is no date. Nothing is written for a day without rows.
-    The counts are observed while the figures are computed, in the same scan.
+    ``day_of_month`` instead of ``day`` takes that day of every month there is.
+    ValueError if neither or both are given or either is no such day. Nothing is
+    written for a day without rows. The counts are observed while the figures are
+    computed, in the same scan.
     """
-    day = parse_day(day)
-    history = read_history(spark, history_path, day)
+    if (day is None) == (day_of_month is None):
+        raise ValueError("give either a day or a day of the month")
+    if day is not None:
+        day = parse_day(day)
+    history = read_history(spark, history_path, day, day_of_month=day_of_month)
+    chosen = day or f"day {day_of_month} of the month"
     first_rows = preview(history)
     if not first_rows:
-        logger.warning("no history for %s in %s", day, history_path)
+        logger.warning("no history for %s in %s", chosen, history_path)
         return DailyRun(0)
-    logger.info("schema of the history:\n%s\nfirst rows: %s", history.schema, first_rows)
+    logger.info("%s\nfirst rows: %s", history.schema.treeString(), first_rows)
 
     ensure_tables(spark, root, [BATCH_STATION_STATUS, STATION_DIMENSION])
     seen = Observation("daily history")
@@ -64,5 +71,5 @@ def run_daily_job(
     upsert(daily_station_stats(observed, stations, computed_at), root, BATCH_STATION_STATUS)
     compact(spark, root, BATCH_STATION_STATUS)
     result = DailyRun(**seen.get)
-    logger.info("daily figures of %s written: %s", day, result)
+    logger.info("figures of %s written: %s", chosen, result)
     return result

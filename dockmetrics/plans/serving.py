@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,7 +35,7 @@ def snapshot(
             spec = RESULT_TABLES[name]
             head = read_table(spark, root, spec).orderBy(*spec.sort_columns()).limit(n)
             head = display_round(head)
-        except (KeyError, PySparkException):
+        except (KeyError, PySparkException, Py4JError):
             logger.exception("table %s cannot be read", name)
             continue
         if labels:

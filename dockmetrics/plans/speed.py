@@ -27,6 +27,7 @@ from dockmetrics.operators.stations import network_status, station_dimension
 from dockmetrics.sources.feeds import SourceConf, decode, explode_feed, publish, read_topic
 from dockmetrics.sources.files import remove_tree
 from dockmetrics.sources.tables import ensure_tables, read_table
+from dockmetrics.streaming.progress import counted
 from dockmetrics.streaming.sinks import history_sink, replace_sink, upsert_sink
 
 
@@ -52,7 +53,9 @@ class StreamConf:
 
 
 def _records(spark: SparkSession, source: SourceConf, topic: str) -> DataFrame:
-    return decode(read_topic(spark, source, topic), RECORD_SCHEMAS[topic])
+    # The two counts differ by the records that were no usable JSON.
+    messages = counted(read_topic(spark, source, topic), f"{topic} messages")
+    return counted(decode(messages, RECORD_SCHEMAS[topic]), f"{topic} records")
 
 
 def _dimension_writer(spark: SparkSession, conf: StreamConf) -> DataStreamWriter:
@@ -66,6 +69,7 @@ def _dimension_writer(spark: SparkSession, conf: StreamConf) -> DataStreamWriter
         STATION_DIMENSION,
         f"{conf.checkpoints}/station_information",
         output_mode="append",
+        compact_every=10,  # every poll writes all stations again
     )
 
 

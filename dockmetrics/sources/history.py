@@ -47,6 +47,8 @@ def read_history(
     listed and read. ``day_of_month`` selects that day of every month and year.
     A folder that does not exist reads as empty.
     """
+    if day_of_month is not None and not 1 <= day_of_month <= 31:
+        raise ValueError(f"day of month must be 1 to 31, not {day_of_month}")
     if not exists(spark, path):
         return spark.createDataFrame([], HISTORY_SCHEMA)
     history = (
@@ -57,8 +59,6 @@ def read_history(
     if day is not None:
         history = history.filter(F.col("day") == F.lit(parse_day(day)))
     if day_of_month is not None:
-        if not 1 <= day_of_month <= 31:
-            raise ValueError(f"day of month must be 1 to 31, not {day_of_month}")
         history = history.filter(F.dayofmonth("day") == day_of_month)
     return history
 

@@ -1,5 +1,6 @@
 """Stream sinks: keyed result tables and the partitioned history."""
 
+from dockmetrics.streaming.progress import ProgressLog, counted
 from dockmetrics.streaming.sinks import history_sink, replace_sink, upsert_sink
 
-__all__ = ["history_sink", "replace_sink", "upsert_sink"]
+__all__ = ["ProgressLog", "counted", "history_sink", "replace_sink", "upsert_sink"]

@@ -1,6 +1,7 @@
 """Whole jobs: documents to topics, the six queries, daily figures, snapshot."""
 
 import json
+import logging
 import threading
 import time
 from dataclasses import replace
@@ -257,8 +258,14 @@ def test_daily_job_without_history_writes_nothing(spark, tmp_path):
         computed_at=COMPUTED,
     )
     assert run.row_count == 0 and not Path(f"{tmp_path}/tables").exists()
+
+
+@pytest.mark.parametrize(
+    "when", [{"day": "40"}, {"day": "abc"}, {"day_of_month": 40}, {}, {"day": "2024-01-01", "day_of_month": 1}]
+)
+def test_daily_job_refuses_what_is_no_day(spark, when):
     with pytest.raises(ValueError):
-        run_daily_job(spark, "40", root="r", history_path="h", computed_at=COMPUTED)
+        run_daily_job(spark, root="r", history_path="h", computed_at=COMPUTED, **when)
 
 
 def test_preview(spark):
@@ -290,7 +297,8 @@ def test_snapshot_rounds_fractions(spark, tmp_path):
     assert (row.hour_avg_bikes_avail, row.hour_avg_docks_avail) == (1.23, 0.12)
 
 
-def test_command_line(spark, tmp_path, documents, capsys):
+def test_command_line(spark, tmp_path, documents, capsys, caplog):
+    caplog.set_level(logging.INFO, logger="dockmetrics")
     root, history = f"{tmp_path}/tables", f"{tmp_path}/history"
     stream = ["stream", "--source", "documents", "--location", documents.location]
     stream += ["--root", root, "--history", history]
@@ -299,8 +307,13 @@ def test_command_line(spark, tmp_path, documents, capsys):
     daily = ["--root", root, "--history", history]
     assert main(["daily", "2024-01-01", *daily]) == 0
     assert main(["daily", "2024-01-02", *daily]) == 1
-    with pytest.raises(SystemExit):
-        main(["daily", "27", *daily])
+    assert main(["daily", "--day-of-month", "1", *daily]) == 0
+    for wrong in (["27"], ["--day-of-month", "32"], []):
+        with pytest.raises(SystemExit):
+            main(["daily", *wrong, *daily])
     assert main(["snapshot", "--root", root]) == 0
     printed = capsys.readouterr().out
+    # Three documents and a page of junk were read for nine status records.
+    assert "'station_status messages': {'rows': 9}" in caplog.text
+    assert "figures of 2024-01-01 written" in caplog.text
     assert "Batch Station Status" in printed and "Empty_Occurrences_24h" in printed
