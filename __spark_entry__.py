@@ -33,9 +33,12 @@ from dockmetrics.operators import bikes, daily, keyed, stations
 from dockmetrics.plans import run_daily_job, snapshot
 from dockmetrics.session import shared_folder
 from dockmetrics.sources import (
+    SourceConf,
     bad_record_counts,
+    compact,
     decode,
     explode_feed,
+    publish,
     read_history,
     read_table,
     union_history,
@@ -118,6 +121,10 @@ def station_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- bikes --------------------------------------------------------------------
 
 
+def abandoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bikes.abandoned(fixtures.free_bike_status(spark, sf_dir))
+
+
 def abandoned_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(bikes.abandoned_count(fixtures.free_bike_status(spark, sf_dir)))
 
@@ -227,6 +234,21 @@ def upsert_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, folder, LATEST_STATUS)
 
 
+def upsert_and_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "compact")
+    for part in _time_slices(fixtures.station_status(spark, sf_dir)):
+        upsert(part, folder, LATEST_STATUS)
+        compact(spark, folder, LATEST_STATUS)
+    return read_table(spark, folder, LATEST_STATUS)
+
+
+def snapshot_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "snapshot")
+    upsert(_stations(spark, sf_dir), folder, STATION_DIMENSION)
+    shown = snapshot(spark, folder, [STATION_DIMENSION.name], labels=True)
+    return shown["Station Information"]
+
+
 def snapshot_network_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "snapshot")
     rollup = stations.network_status(
@@ -250,6 +272,16 @@ def snapshot_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ------------------------------------------------------------------
 
 
+def stream_feed_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "stream")
+    fixtures.status_documents(spark, sf_dir).write.text(f"{folder}/documents")
+    topics = SourceConf("files", f"{folder}/topics")
+    records = explode_feed(spark.readStream.text(f"{folder}/documents"), STATION_STATUS)
+    writer = publish(records, topics, STATION_STATUS, f"{folder}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return decode(spark.read.text(f"{folder}/topics/{STATION_STATUS}"), STATION_STATUS_SCHEMA)
+
+
 def stream_network_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream")
     known = _stations(spark, sf_dir)
@@ -362,6 +394,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "network_status_minute": network_status_minute,
         "station_flags": station_flags,
         "station_dimension": station_dimension,
+        "abandoned": abandoned,
         "abandoned_count": abandoned_count,
         "bike_situation": bike_situation,
         "top_range": top_range,
@@ -378,8 +411,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "explode_feed": explode_status_feed,
         "latest_by_key": latest_by_key,
         "upsert_two_batches": upsert_two_batches,
+        "upsert_and_compact": upsert_and_compact,
+        "snapshot_headings": snapshot_headings,
         "snapshot_network_status": snapshot_network_status,
         "snapshot_daily": snapshot_daily,
+        "stream_feed_to_topic": stream_feed_to_topic,
         "stream_network_status": stream_network_status,
         "stream_abandoned_count": stream_abandoned_count,
         "stream_history": stream_history,
@@ -472,6 +508,10 @@ FROM status
 
 _STATUS = "SELECT station_id, num_bikes_available, num_docks_available, last_reported FROM status"
 
+_EXPLODED = f"""{_STATUS} UNION ALL
+SELECT 'n' || station_id, num_docks_available, num_bikes_available, last_reported FROM status
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The same results as DuckDB SQL over the driver's tables."""
@@ -488,6 +528,10 @@ def oracle_sql() -> dict[str, str]:
                    CAST(num_bikes_available = 0 AS INTEGER) AS is_empty
             FROM status JOIN station USING (station_id)""",
         "station_dimension": "SELECT station_id, station_name, capacity FROM station",
+        "abandoned": """
+            SELECT bike_id, station_id, last_reported, is_reserved, is_disabled,
+                   current_range_meters
+            FROM bike WHERE station_id = ''""",
         "abandoned_count": _ABANDONED_COUNT,
         "bike_situation": _BIKE_SITUATION,
         "top_range": """
@@ -518,11 +562,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(count(*) AS BIGINT) AS message_count,
                    CAST(count(*) FILTER (num_bikes_available = 0) AS BIGINT) AS bad_count
             FROM status""",
-        "explode_feed": f"""{_STATUS} UNION ALL
-            SELECT 'n' || station_id, num_docks_available, num_bikes_available, last_reported
-            FROM status""",
+        "explode_feed": _EXPLODED,
         "latest_by_key": _LATEST_STATUS,
         "upsert_two_batches": _LATEST_STATUS,
+        "upsert_and_compact": _LATEST_STATUS,
+        "snapshot_headings": """
+            SELECT station_id AS "Station_Id", station_name AS "Station_Name",
+                   capacity AS "Capacity"
+            FROM station ORDER BY station_id LIMIT 30""",
         "snapshot_network_status": f"""
             {_NETWORK_STATUS} ORDER BY day DESC, "timestamp" DESC LIMIT 30""",
         "snapshot_daily": f"""
@@ -530,6 +577,7 @@ def oracle_sql() -> dict[str, str]:
                 round_even(CAST(hour_avg_bikes_avail AS DOUBLE), 2) AS hour_avg_bikes_avail,
                 round_even(CAST(hour_avg_docks_avail AS DOUBLE), 2) AS hour_avg_docks_avail)
             FROM ({daily_by_station} GROUP BY station_id) ORDER BY station_id LIMIT 30""",
+        "stream_feed_to_topic": _EXPLODED,
         "stream_network_status": _NETWORK_STATUS,
         "stream_abandoned_count": _ABANDONED_COUNT,
         "stream_history": _HISTORY,
