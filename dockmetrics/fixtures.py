@@ -74,9 +74,8 @@ def status_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         " 'num_docks_available', num_bikes_available, 'last_reported', last_reported,"
         " 'vehicle_types', array(named_struct('count', num_docks_available)))"
     )
-    return station_status(spark, sf_dir).selectExpr(
-        f"to_json(named_struct('data', named_struct('stations', array({first}, {second})))) as value"
-    )
+    feed = f"named_struct('data', named_struct('stations', array({first}, {second})))"
+    return station_status(spark, sf_dir).selectExpr(f"to_json({feed}) as value")
 
 
 def zoneless(df: DataFrame) -> DataFrame:

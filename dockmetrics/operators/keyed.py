@@ -24,7 +24,7 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     if not ranked and not rest:
         return df.distinct()
     kept = df.groupBy(*keys).agg(F.max(F.struct(*ranked, *rest)).alias("_kept"))
-    return kept.select(*(F.col(c) if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns))
+    return kept.select(*(c if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns))
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

@@ -34,6 +34,7 @@ __all__ = [
     "read_day_of_month_history",
     "read_history",
     "read_table",
+    "read_topic",
     "union_history",
     "upsert",
     "write_history",

@@ -95,7 +95,8 @@ def test_situation(spark, reserved, disabled, expected):
 
 def test_display_round_follows_the_binary_value_and_leaves_others(spark):
     values = [2.675, 0.125, 0.375, -1.005, 7.0, 3.14159]
-    df = spark.createDataFrame([(i, v, "1.239") for i, v in enumerate(values)], "i int, v float, s string")
+    rows = [(i, v, "1.239") for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "i int, v float, s string")
     shown = display_round(df).orderBy("i").collect()
     widened = [r.v for r in df.orderBy("i").collect()]
     assert [r.v for r in shown] == [round(v, 2) for v in widened]
@@ -118,7 +119,8 @@ def test_required_columns_are_named(spark):
 
 
 def test_conform_orders_and_casts(spark):
-    df = spark.createDataFrame([(5, "x", "1", "more")], "capacity long, station_name string, station_id string, z string")
+    ddl = "capacity long, station_name string, station_id string, z string"
+    df = spark.createDataFrame([(5, "x", "1", "more")], ddl)
     out = conform(df, STATION_DIMENSION)
     assert out.schema.fieldNames() == STATION_DIMENSION.columns
     assert tuple(out.first()) == ("1", "x", 5)

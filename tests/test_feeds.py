@@ -77,7 +77,8 @@ def test_explode_feed_keeps_whole_elements(spark):
 
 
 def test_explode_feed_picks_the_feed_array(spark):
-    docs = messages(spark, {"data": {"bikes": [{"bike_id": "1"}], "stations": [{"station_id": "s"}]}})
+    data = {"bikes": [{"bike_id": "1"}], "stations": [{"station_id": "s"}]}
+    docs = messages(spark, {"data": data})
     assert explode_feed(docs, FREE_BIKE_STATUS).first().value == '{"bike_id":"1"}'
     assert explode_feed(docs, STATION_INFORMATION).first().value == '{"station_id":"s"}'
     with pytest.raises(ValueError, match="unknown feed"):

@@ -261,7 +261,14 @@ def test_daily_job_without_history_writes_nothing(spark, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "when", [{"day": "40"}, {"day": "abc"}, {"day_of_month": 40}, {}, {"day": "2024-01-01", "day_of_month": 1}]
+    "when",
+    [
+        {"day": "40"},
+        {"day": "abc"},
+        {"day_of_month": 40},
+        {},
+        {"day": "2024-01-01", "day_of_month": 1},
+    ],
 )
 def test_daily_job_refuses_what_is_no_day(spark, when):
     with pytest.raises(ValueError):

@@ -72,7 +72,8 @@ def test_slots_spread_the_hot_station(status, dimension):
     joined = join_by_slot(status, dimension, slots=16)
     assert joined.count() == join_stations(status, dimension).count() == ROWS
     slot = F.pmod(F.xxhash64(*status.columns), F.lit(16))
-    sizes = [r["count"] for r in status.filter("station_id = 'hot'").groupBy(slot).count().collect()]
+    slots = status.filter("station_id = 'hot'").groupBy(slot).count()
+    sizes = [r["count"] for r in slots.collect()]
     assert len(sizes) == 16 and max(sizes) < 3 * min(sizes)
 
 

@@ -85,9 +85,8 @@ def bike(number, station, second, reach=100, reserved=False, disabled=False):
 
 def totals(spark, root):
     table = read_table(spark, root, STATION_STATUS_WINDOWED)
-    return sorted(
-        tuple(r) for r in table.select(F.unix_seconds("timestamp"), "total_bikes_available").collect()
-    )
+    shown = table.select(F.unix_seconds("timestamp"), "total_bikes_available")
+    return sorted(tuple(r) for r in shown.collect())
 
 
 def test_update_stream_equals_batch(spark, tmp_path, land, stream, dimension, rows_of):
@@ -215,7 +214,8 @@ def test_restart_continues_rollup_and_history_without_duplicates(
 def test_a_new_checkpoint_starts_a_later_run(spark, tmp_path, land, stream):
     def run(checkpoint):
         information = station_dimension(stream(STATION_INFORMATION))
-        drain(upsert_sink(information, str(tmp_path), STATION_DIMENSION, f"{tmp_path}/{checkpoint}"))
+        path = f"{tmp_path}/{checkpoint}"
+        drain(upsert_sink(information, str(tmp_path), STATION_DIMENSION, path))
 
     land(STATION_INFORMATION, [{"station_id": "a", "name": "Old", "capacity": 1}])
     land(STATION_INFORMATION, [{"station_id": "a", "name": "New", "capacity": 2}, "junk"])

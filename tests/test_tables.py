@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from dockmetrics.model import (
     BIKE_SITUATION,
@@ -84,15 +85,16 @@ def test_unfinished_writes_do_not_count(spark, tmp_path):
     assert names(spark, root) == {"a": "A"}
 
 
-SITUATION = "timestamp timestamp, bike_id string, situation string, station_name string"
+SITUATION = "timestamp int, bike_id string, situation string, station_name string"
 
 
 def test_replace_table_shows_the_newest_write_only(spark, tmp_path):
     root = str(tmp_path)
 
     def put(batch, *bikes):
-        rows = spark.createDataFrame([(b, "BOTH", "A") for b in bikes], "bike_id string, situation string, station_name string")
-        write_batch(rows.selectExpr("timestamp_seconds(0) as timestamp", "*"), root, BIKE_SITUATION, 1, batch)
+        rows = spark.createDataFrame([(0, b, "BOTH", "A") for b in bikes], SITUATION)
+        rows = rows.withColumn("timestamp", F.timestamp_seconds("timestamp"))
+        write_batch(rows, root, BIKE_SITUATION, 1, batch)
 
     def shown():
         return sorted(r.bike_id for r in read_table(spark, root, BIKE_SITUATION).collect())
