@@ -20,6 +20,9 @@ STATION_STATUS = "station_status"
 STATION_INFORMATION = "station_information"
 FREE_BIKE_STATUS = "free_bike_status"
 
+# Order in which a topic's records came in; no part of any result table.
+ARRIVED = "_arrived"
+
 FEED_ARRAYS = {
     STATION_INFORMATION: "stations",
     STATION_STATUS: "stations",
@@ -189,7 +192,8 @@ def require_columns(df: DataFrame, columns) -> None:
         raise ValueError(f"missing required columns {missing}; got {df.columns}")
 
 
-def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Exactly the contract's columns, in its order and with its types."""
-    require_columns(df, spec.columns)
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields))
+def conform(df: DataFrame, spec: TableSpec, *extra: str) -> DataFrame:
+    """Exactly the contract's columns, in its order and with its types, and ``extra``."""
+    require_columns(df, [*spec.columns, *extra])
+    columns = (F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields)
+    return df.select(*columns, *extra)

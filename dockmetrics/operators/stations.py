@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dockmetrics.functions.flags import NEARLY_FULL_MARGIN, empty_flag, full_flag, saturation_flag
 from dockmetrics.functions.time import with_day, with_event_time
 from dockmetrics.model import (
+    ARRIVED,
     STATION_DIMENSION,
     STATION_INFORMATION_SCHEMA,
     STATION_STATUS_WINDOWED,
@@ -18,9 +19,14 @@ from dockmetrics.operators.rollup import rollup_by_time
 
 
 def station_dimension(information: DataFrame) -> DataFrame:
-    """Station information records as rows of the station table."""
+    """Station information records as rows of the station table.
+
+    The order of arrival is passed on: it tells which record of a station counts.
+    """
     require_columns(information, STATION_INFORMATION_SCHEMA.fieldNames())
-    return information.withColumnRenamed("name", "station_name").select(*STATION_DIMENSION.columns)
+    arrival = [c for c in information.columns if c == ARRIVED]
+    renamed = information.withColumnRenamed("name", "station_name")
+    return renamed.select(*STATION_DIMENSION.columns, *arrival)
 
 
 def with_station_flags(df: DataFrame, margin: int = NEARLY_FULL_MARGIN) -> DataFrame:

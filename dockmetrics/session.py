@@ -37,10 +37,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     Only a local master may do without the setting: there a temporary folder is
     as visible to the executors as to the driver.
     """
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not sc.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="dockmetrics-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockmetrics.model import FEED_ARRAYS, require_columns
+from dockmetrics.model import ARRIVED, FEED_ARRAYS, require_columns
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,14 @@ def explode_feed(documents: DataFrame, feed: str) -> DataFrame:
     envelope = F.from_json(
         F.col("value").cast("string"), f"data struct<{array}: array<string>>"
     )
-    return documents.select(F.explode(envelope["data"][array]).alias("value"))
+    return documents.select(
+        F.explode(envelope["data"][array]).alias("value"), *_arrival(documents)
+    )
+
+
+def _arrival(df: DataFrame) -> list[str]:
+    """The order of arrival, where the source tells it."""
+    return [c for c in df.columns if c == ARRIVED]
 
 
 def _any_field(record: Column, schema: T.StructType) -> Column:
@@ -63,13 +70,14 @@ def decode(messages: DataFrame, schema: T.StructType, *, on_bad: str = "drop") -
     require_columns(messages, ["value"])
     record = F.from_json(F.col("value").cast("string"), schema)
     if on_bad == "keep":
-        return messages.select(record.alias("record")).select("record.*")
+        parsed = messages.select(record.alias("record"), *_arrival(messages))
+        return parsed.select("record.*", *_arrival(messages))
     if on_bad != "drop":
         raise ValueError(f"on_bad must be 'drop' or 'keep', not {on_bad!r}")
     # A filter after the parse would be pushed below it and parse every record
     # again for its own test; filtering inside the generator parses once.
     usable = F.filter(F.array(record), lambda r: _any_field(r, schema))
-    return messages.select(F.inline(usable))
+    return messages.select(F.inline(usable), *_arrival(messages))
 
 
 def bad_record_counts(messages: DataFrame, schema: T.StructType) -> DataFrame:
@@ -97,17 +105,18 @@ def kafka_options(conf: SourceConf, topic: str) -> dict[str, str]:
 
 
 def read_topic(spark: SparkSession, conf: SourceConf, topic: str) -> DataFrame:
-    """The topic as a stream with a ``value`` column, one record per row."""
+    """The topic as a stream with a ``value`` column, one record per row, and the
+    order of arrival: by broker time and offset, or by file."""
     if conf.kind == "kafka":
         stream = spark.readStream.format("kafka").options(**kafka_options(conf, topic)).load()
-        return stream.select("value")
+        return stream.select("value", F.struct("timestamp", "offset").alias(ARRIVED))
     reader = spark.readStream.options(**conf.options)
     if conf.per_trigger:
         reader = reader.option("maxFilesPerTrigger", conf.per_trigger)
-    path = f"{conf.location}/{topic}"
-    if conf.kind == "documents":
-        return explode_feed(reader.text(path, wholetext=True), topic)
-    return reader.text(path)
+    lines = reader.text(f"{conf.location}/{topic}", wholetext=conf.kind == "documents")
+    landed = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    messages = lines.select("value", landed.alias(ARRIVED))
+    return explode_feed(messages, topic) if conf.kind == "documents" else messages
 
 
 def publish(messages: DataFrame, conf: SourceConf, topic: str, checkpoint: str):

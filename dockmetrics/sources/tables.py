@@ -19,7 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from dockmetrics.model import TableSpec, conform
+from dockmetrics.model import ARRIVED, TableSpec, conform
 from dockmetrics.operators.keyed import latest_by_key
 from dockmetrics.sources.files import matching, remove_tree
 
@@ -72,12 +72,14 @@ def next_run(spark: SparkSession, root: str, spec: TableSpec) -> int:
 def write_batch(df: DataFrame, root: str, spec: TableSpec, run: int, batch_id: int) -> None:
     """Store ``df`` as one write of the table, one row per key.
 
-    Rows with a null key are left out: no keyed table can hold them. Copies of a
-    key are folded before the shuffle, and planned adaptively the files are as
+    Rows with a null key are left out: no keyed table can hold them. The last row
+    of a key by the table's version columns, then by arrival, counts. Copies are
+    folded before the shuffle, and planned adaptively the files are as
     few as the rows allow, however many tasks computed them.
     """
-    rows = conform(df, spec).dropna(subset=list(spec.keys))
-    rows = latest_by_key(rows, spec.keys, spec.version)
+    arrival = [c for c in df.columns if c == ARRIVED]
+    rows = conform(df, spec, *arrival).dropna(subset=list(spec.keys))
+    rows = latest_by_key(rows, spec.keys, [*spec.version, *arrival]).drop(ARRIVED)
     rows.write.mode("overwrite").parquet(write_path(root, spec, run, batch_id))
 
 

@@ -226,6 +226,22 @@ def test_a_new_checkpoint_starts_a_later_run(spark, tmp_path, land, stream):
     assert {w.run for w in writes(spark, str(tmp_path), STATION_DIMENSION)} == {1, 2}
 
 
+@pytest.mark.parametrize("kind", ["files", "documents"])
+def test_last_announcement_of_a_station_counts_within_a_batch(spark, tmp_path, land, kind):
+    for name in ("Zoo", "Old Zoo", "Animal Park"):
+        record = {"station_id": "a", "name": name, "capacity": 1}
+        if kind == "documents":
+            record = {"data": {"stations": [record]}}
+        land(STATION_INFORMATION, [record])
+    records = read_topic(spark, SourceConf(kind, f"{tmp_path}/landing"), STATION_INFORMATION)
+    information = station_dimension(decode(records, STATION_INFORMATION_SCHEMA))
+    drain(upsert_sink(information, str(tmp_path), STATION_DIMENSION, f"{tmp_path}/ck"))
+    table = read_table(spark, str(tmp_path), STATION_DIMENSION)
+    assert table.columns == STATION_DIMENSION.columns
+    assert [r.station_name for r in table.collect()] == ["Animal Park"]
+    assert len(writes(spark, str(tmp_path), STATION_DIMENSION)) == 1
+
+
 def test_replayed_batch_adds_nothing(spark, tmp_path, land, stream, dimension):
     """Forget that the last batch was committed: it is run again."""
     land(STATION_STATUS, [report("a", 1, T0)])
