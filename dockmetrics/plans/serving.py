@@ -16,6 +16,16 @@ from dockmetrics.sources.tables import read_table
 logger = logging.getLogger(__name__)
 
 
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """Make every result table a temporary view of its name, for SQL.
+
+    A view shows the writes there were when it was registered.
+    """
+    for name, spec in RESULT_TABLES.items():
+        read_table(spark, root, spec).createOrReplaceTempView(name)
+    return list(RESULT_TABLES)
+
+
 def snapshot(
     spark: SparkSession,
     root: str,

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__
+import bench
 from oracle import assert_matches
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -27,3 +28,10 @@ def test_entry(spark):
 def test_query_matches_oracle(spark, name):
     result = __spark_entry__.queries()[name](spark, SF_DIR)
     assert assert_matches(result, ORACLES[name], SF_DIR) > 0
+
+
+def test_one_pass_daily_figures_equal_three_passes(spark):
+    three = bench.daily_three_pass(spark, SF_DIR)
+    one = __spark_entry__.daily_station_stats(spark, SF_DIR).select(*three.columns)
+    assert three.count() > 0
+    assert three.exceptAll(one).count() == one.exceptAll(three).count() == 0

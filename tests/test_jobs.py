@@ -23,6 +23,7 @@ from dockmetrics.plans import (
     StreamConf,
     keep_running,
     preview,
+    register_views,
     run_daily_job,
     run_ingest_job,
     run_stream_job,
@@ -293,6 +294,14 @@ def test_snapshot_orders_limits_labels_and_skips(spark, tmp_path, caplog):
     assert snapshot(spark, root, ["station_information"], n=3)["station_information"].count() == 3
 
 
+def test_result_tables_as_views(spark, tmp_path):
+    df = spark.createDataFrame([("a", "A", 1)], STATION_DIMENSION.schema)
+    upsert(df, str(tmp_path), STATION_DIMENSION)
+    assert register_views(spark, str(tmp_path)) == list(RESULT_TABLES)
+    assert spark.sql("SELECT * FROM station_information LIMIT 30").count() == 1
+    assert spark.sql("SELECT * FROM bike_status LIMIT 30").count() == 0
+
+
 def test_snapshot_rounds_fractions(spark, tmp_path):
     figures = spark.sql(
         "select 'a' station_id, 'A' station_name, cast(1.2345 as float) hour_avg_bikes_avail,"
