@@ -24,7 +24,14 @@ from dockmetrics.model import (
 )
 from dockmetrics.operators.bikes import abandoned_count, bike_situation, top_range
 from dockmetrics.operators.stations import network_status, station_dimension
-from dockmetrics.sources.feeds import SourceConf, decode, explode_feed, publish, read_topic
+from dockmetrics.sources.feeds import (
+    SourceConf,
+    decode,
+    ensure_topic,
+    explode_feed,
+    publish,
+    read_topic,
+)
 from dockmetrics.sources.files import remove_tree
 from dockmetrics.sources.tables import ensure_tables, read_table
 from dockmetrics.streaming.progress import counted
@@ -117,6 +124,8 @@ def run_stream_job(spark: SparkSession, conf: StreamConf) -> dict[str, Streaming
     in every micro-batch of the two bike snapshots. ``keep_running`` restarts
     the rollup when the stations change.
     """
+    for topic in RECORD_SCHEMAS:
+        ensure_topic(spark, conf.source, topic)
     ensure_tables(spark, conf.root, RESULT_TABLES.values())
     drained = _dimension_writer(spark, conf).trigger(availableNow=True).start()
     drained.awaitTermination()
@@ -163,8 +172,8 @@ def run_stream_job(spark: SparkSession, conf: StreamConf) -> dict[str, Streaming
 
 
 def stations_digest(spark: SparkSession, conf: StreamConf) -> tuple:
-    """Number of stations and a hash of their rows, whatever their order."""
-    stations = _stations(spark, conf)
+    """Number of stations and a hash of what the rollup takes from them."""
+    stations = _stations(spark, conf).select("station_id", "capacity")
     digest = stations.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*stations.columns)))
     return tuple(digest.first())
 
@@ -214,6 +223,7 @@ def run_ingest_job(
     """Turn landed feed documents into topic records, one query per feed."""
     queries = {}
     for topic in RECORD_SCHEMAS:
+        ensure_topic(spark, documents, topic)
         folder = f"{documents.location}/{topic}"
         landed = spark.readStream.text(folder, wholetext=True)
         writer = publish(explode_feed(landed, topic), topics, topic, f"{checkpoints}/{topic}")

@@ -4,6 +4,7 @@ from dockmetrics.sources.feeds import (
     SourceConf,
     bad_record_counts,
     decode,
+    ensure_topic,
     explode_feed,
     kafka_options,
     publish,
@@ -25,6 +26,7 @@ __all__ = [
     "compact",
     "decode",
     "ensure_tables",
+    "ensure_topic",
     "explode_feed",
     "history_rows",
     "kafka_options",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockmetrics.model import ARRIVED, FEED_ARRAYS, require_columns
+from dockmetrics.sources.files import make_folder
 
 
 @dataclass(frozen=True)
@@ -104,6 +105,13 @@ def kafka_options(conf: SourceConf, topic: str) -> dict[str, str]:
     return {**options, **conf.options}
 
 
+def ensure_topic(spark: SparkSession, conf: SourceConf, topic: str) -> None:
+    """Let a file topic be read before its first record lands. Kafka topics are
+    the broker's business."""
+    if conf.kind != "kafka":
+        make_folder(spark, f"{conf.location}/{topic}")
+
+
 def read_topic(spark: SparkSession, conf: SourceConf, topic: str) -> DataFrame:
     """The topic as a stream with a ``value`` column, one record per row, and the
     order of arrival: by broker time and offset, or by file."""

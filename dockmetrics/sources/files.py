@@ -22,6 +22,11 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found] if found else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _resolve(spark, path)
+    fs.mkdirs(target)
+
+
 def remove_tree(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)

@@ -68,7 +68,7 @@ def _table_sink(
     return (
         df.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .queryName(f"{spec.name}-{run}")
+        .queryName(f"{spec.name} ({checkpoint})")
         .foreachBatch(store)
     )
 
@@ -131,4 +131,5 @@ def history_sink(
         .partitionBy("day", "hour")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
+        .queryName(f"history ({checkpoint})")
     )

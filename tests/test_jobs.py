@@ -189,6 +189,14 @@ def test_stream_job_goes_on_with_new_stations_after_a_restart(spark, tmp_path, l
     assert read_history(spark, conf.history_path).count() == 4
 
 
+def test_stream_job_may_start_before_anything_landed(spark, tmp_path):
+    conf = stream_conf(tmp_path, SourceConf("files", f"{tmp_path}/nothing-yet"))
+    wait(run_stream_job(spark, conf))
+    for frame in snapshot(spark, conf.root).values():
+        assert frame.count() == 0
+    assert read_history(spark, conf.history_path).count() == 0
+
+
 def test_stream_job_runs_on_triggers_until_stopped(spark, tmp_path, documents):
     conf = stream_conf(tmp_path, documents)
     conf = replace(conf, available_now=False, trigger="1 second", history_trigger="1 second")
