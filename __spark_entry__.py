@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import UTC, datetime
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,16 @@ from dockmetrics.sources import (
 )
 from dockmetrics.streaming import history_sink, replace_sink, upsert_sink
 
+#: The operators of dockmetrics.llm and their pipeline are optional.
+if find_spec("dockmetrics.llm"):
+    from dockmetrics.llm import queries as llm
+else:
+    llm = None
+if find_spec("corpus_pipeline"):
+    import corpus_pipeline
+else:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 COMPUTED_AT = datetime(2024, 2, 1, tzinfo=UTC)
 HISTORY_DAY = "2024-01-15"
@@ -389,6 +400,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per implemented query or operator."""
+    return (
+        core_queries()
+        | (llm.queries() if llm else {})
+        | ({"pipeline": corpus_pipeline.run} if corpus_pipeline else {})
+    )
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Those that do without the optional parts."""
     return {
         "network_status": network_status,
         "network_status_minute": network_status_minute,
@@ -589,4 +609,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT "timestamp", bike_id, station_name FROM ({_TOP_RANGE_LATEST})""",
         "stream_station_dimension": "SELECT station_id, station_name, capacity FROM station",
     }
-    return {name: _FEEDS + body for name, body in bodies.items()}
+    core = {name: _FEEDS + body for name, body in bodies.items()}
+    whole = corpus_pipeline.ORACLE_SQL if corpus_pipeline else None
+    return core | (llm.oracle_sql() if llm else {}) | ({"pipeline": whole} if whole else {})
