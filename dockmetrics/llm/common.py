@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockmetrics.session import shared_folder
@@ -22,6 +26,24 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hands the library to the executors' Python, once per application; a cluster on
+    which it is installed needs no such call."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{root.name}.zip"  # the driver serves it from here
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def whole_text(column: str | Column) -> Column:
     """The text, a null one as an empty one."""
     column = F.col(column) if isinstance(column, str) else column
@@ -33,9 +55,9 @@ def row_hash(column: str | Column) -> Column:
     return F.xxhash64(whole_text(column))
 
 
-def read(spark, sf_dir: str, table: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shuffle_width(spark) -> int:
+def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

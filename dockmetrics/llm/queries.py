@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import read
+from dockmetrics.llm.bpe import bpe_round_trip
+from dockmetrics.llm.common import read, ship_package
 from dockmetrics.llm.exact_dedup import exact_dedup
+from dockmetrics.llm.language_id import fit_language_model, held_out, language_column
 from dockmetrics.llm.secret_scan import joined_spans, secret_scan
 from dockmetrics.llm.simhash_dedup import simhash_dedup
+from dockmetrics.llm.token_store import lookup, write_token_store
 from dockmetrics.llm.url_filter import rules_frame, url_filter
+from dockmetrics.session import shared_folder
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,17 +35,49 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    folder = shared_folder(spark, "token-store")
+    manifest = write_token_store(docs, folder, public_tokenizers.path("word_bpe_49k.json"))
+    return lookup(manifest, folder, docs.select("doc_id")).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = fit_language_model(docs.filter(~held_out()))
+    rows = docs.select("doc_id", held_out().alias("held_out"), language_column(model).alias("found"))
+    return rows.select("doc_id", "held_out", "found.*")
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def _shipping(query):
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict:
     return {
-        name: query
+        name: _shipping(query)
         for name, query in sorted(globals().items())
         if name.startswith("op") and name[2].isdigit()
     }
