@@ -10,15 +10,23 @@ from pyspark.sql import functions as F
 
 from dockmetrics.llm.bpe import bpe_round_trip
 from dockmetrics.llm.common import read, ship_package
+from dockmetrics.llm.decontamination import decontaminate
 from dockmetrics.llm.exact_dedup import exact_dedup
 from dockmetrics.llm.language_id import fit_language_model, held_out, language_column
 from dockmetrics.llm.secret_scan import joined_spans, secret_scan
+from dockmetrics.llm.sharding import shard_documents
 from dockmetrics.llm.simhash_dedup import simhash_dedup
 from dockmetrics.llm.token_store import lookup, write_token_store
 from dockmetrics.llm.url_filter import rules_frame, url_filter
+from dockmetrics.llm.warc import plan_records, read_warc, write_warc
 from dockmetrics.session import shared_folder
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("row_hash").withColumn("similarity", F.round("similarity", 6))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter(read(spark, sf_dir, "pages"), rules_frame(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -51,6 +59,13 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    index = write_warc(plan_records(read(spark, sf_dir, "pages")), folder)
+    records = read_warc(index, folder, keep_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = fit_language_model(docs.filter(~held_out()))
@@ -62,6 +77,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -109,6 +128,20 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM p LEFT JOIN fits USING (page_id)
 """
 
+OP6_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), r AS (
+    SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS response
+    FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM r
+"""
+
 OP10_SQL = """
 WITH d AS (
     SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -124,4 +157,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op2_url_filter": OP2_SQL, "op6_warc": OP6_SQL, "op10_exact_dedup": OP10_SQL}

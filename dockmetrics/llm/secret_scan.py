@@ -87,13 +87,14 @@ def secret_scan(
 
 def joined_spans(kinds: tuple[str, ...]) -> Column:
     """``kind:start:end`` by start, then kind in the listed order, comma-joined."""
-    tagged = [
-        F.transform(k, lambda s, i=KINDS.index(k): F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end")))
-        for k in kinds
-    ]
+
+    def tagged(kind: str) -> Column:
+        number = F.lit(KINDS.index(kind)).alias("kind")
+        return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), number, s["end"].alias("end")))
+
     names = F.array(*map(F.lit, KINDS))
     parts = F.transform(
-        F.array_sort(F.concat(*tagged)),
+        F.array_sort(F.concat(*map(tagged, kinds))),
         lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string")),
     )
     return F.array_join(parts, ",")
