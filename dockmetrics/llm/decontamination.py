@@ -30,7 +30,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import row_hash, whole_text
+from dockmetrics.llm.common import materialize, row_hash, whole_text
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -115,7 +115,8 @@ def decontaminate(
     items = with_shingles(items, "text").filter(F.size("hashes") > 0).select(
         F.xxhash64("item_id", "hashes").alias("item"), "item_id", "hashes", F.size("hashes").alias("n")
     ).dropDuplicates(["item"])
-    items = _anchored_items(items, threshold)
+    items = items.withColumn("item_fp", simhash(F.col("hashes")))
+    items = materialize(_anchored_items(materialize(items, "benchmark"), threshold), "benchmark-items")
     total = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hint = F.broadcast if total <= BROADCAST_SHINGLES else (lambda df: df)
 
@@ -124,7 +125,8 @@ def decontaminate(
         F.col(id_col).alias("id"), row_hash(text_col).alias("row_hash"), whole_text(text_col).alias("text")
     )
     shingled = with_shingles(texts, "text")
-    at = shingled.select("id", "row_hash", "hashes", F.posexplode("hashes").alias("p", "h"))
+    # outer: else the optimizer adds a filter on the array's size, for which it is computed again
+    at = shingled.select("id", "row_hash", "hashes", F.posexplode_outer("hashes").alias("p", "h"))
     hits = at.join(hint(anchors), "h")
     size = F.least("n", F.size("hashes"))
     low = F.greatest(F.col("p") - size + 1, F.lit(0))
@@ -133,18 +135,19 @@ def decontaminate(
         "id", "row_hash", "n", low.alias("low"), size.alias("size"),
         F.slice("hashes", low + 1, high - low + size).alias("around"),
     )
+    near = materialize(near, "anchors")
     starts = F.explode(F.sequence(F.lit(0), F.size("around") - F.col("size"))).alias("s")
     windows = near.select("id", "row_hash", "n", "low", "size", "around", starts).select(
         "id", "row_hash", "n", (F.col("low") + F.col("s")).alias("start"),
         F.expr("slice(around, s + 1, size)").alias("window"),
     )
-    printed = windows.withColumn("fp", simhash(F.col("window")))
+    # never null: else the optimizer adds a filter for which it is computed again
+    printed = windows.withColumn("fp", F.coalesce(simhash(F.col("window")), F.lit(0)))
 
     width, reach = 64 // BLOCKS, radius // BLOCKS
     of_block = lambda fp, b: F.shiftrightunsigned(fp, b * width).bitwiseAND(F.lit((1 << width) - 1))
-    marked = items.withColumn("item_fp", simhash(F.col("hashes")))
     flips = [sum(1 << b for b in bits) for k in range(reach + 1) for bits in combinations(range(width), k)]
-    stored = marked.select("item", "n", "item_fp", F.explode(F.array(*[F.lit(b) for b in range(BLOCKS)])).alias("block")).select(
+    stored = items.select("item", "n", "item_fp", F.explode(F.array(*[F.lit(b) for b in range(BLOCKS)])).alias("block")).select(
         "item", "n", "item_fp", "block",
         F.expr(f"shiftrightunsigned(item_fp, block * {width}) & {(1 << width) - 1}").alias("own"),
     ).select("item", "n", "item_fp", "block", F.explode(F.array(*[F.col("own").bitwiseXOR(F.lit(f)) for f in flips])).alias("value"))
