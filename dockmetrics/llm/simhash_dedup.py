@@ -12,12 +12,19 @@ Search: all links between distinct fingerprints at ``radius`` or fewer bits.
    sum(t_i + 1) = radius + 1. Two fingerprints within the radius then differ in at
    most t_i bits of some partition i. A dynamic program picks the thresholds with
    the fewest estimated candidates, from counts over all fingerprints.
+   The number of partitions is the one whose best allocation costs least: few and wide
+   ones with more probes as the fingerprints grow in number.
 3. Fingerprints probe the partitions, candidates are verified on all bits.
 
-A bucket of more than ``bucket_rows`` fingerprints (a large group of near copies)
-is not joined with itself. Its members are linked through the points one bit away
-that they share: within two bits there is one, and all that share it are within two
-bits, so they link to the smallest of them. That is exact and linear in the bucket.
+Up to a radius of two, a bucket of more than ``bucket_rows`` fingerprints (a large group
+of near copies) is not joined with itself. Its members are linked through the points one
+bit away that they share: within two bits there is one, and all that share it are within
+two bits, so they link to the smallest of them. That is exact and linear in the bucket.
+For a larger radius the buckets are compared inside tasks, large ones in blocks, and a
+task returns a spanning forest of what it links, never the pairs.
+
+``near_duplicates`` asks for shingle similarity as well: texts that the fingerprints
+connect are brought together, compared exactly, and linked if they reach it.
 
 Rows of any number with one fingerprint count once. A null id is never named as
 a component's smallest id; a component without ids has a null component_id.
@@ -25,7 +32,7 @@ a component's smallest id; a component without ids has a null component_id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations, repeat
 from math import comb
 
@@ -36,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import materialize, whole_text
+from dockmetrics.llm.common import materialize, shuffle_width, whole_text
 from dockmetrics.llm.components import connected_components
 
 BITS = 64
@@ -80,10 +87,15 @@ def simhash_dedup(
     shingle: int = 3,
     radius: int = 2,
     bucket_rows: int = 128,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``
-    (smallest id reachable over links, its own included)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), fingerprint_column(text_col, shingle).alias("fp"))
+    (smallest id reachable over links, its own included). With ``carry``, the names of
+    further columns to pass on, also ``group``, which is never null."""
+    passed = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), fingerprint_column(text_col, shingle).alias("fp"), *passed
+    )
     rows = materialize(rows, "simhash")
     distinct = materialize(rows.groupBy("fp").agg(F.min("id").alias("id")), "simhash-distinct")
     links = near_links(distinct.select("fp"), radius, bucket_rows)
@@ -92,11 +104,13 @@ def simhash_dedup(
         "fp", "id", F.coalesce("root", "fp").alias("root")
     )
     least = of_linked.groupBy("root").agg(F.min("id").alias("component_id"))
-    component = of_linked.join(least, "root").select("fp", "component_id")
+    component = of_linked.join(least, "root").select("fp", "component_id", F.col("root").alias("group"))
     return rows.join(component, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
+        *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)],
+        *(["group"] if carry else []),
     )
 
 
@@ -107,20 +121,27 @@ def near_links(points: DataFrame, radius: int = 2, bucket_rows: int = 128) -> Da
     """Links (a, b) that join all distinct values of ``points`` (fp long) within
     ``radius`` bits: every such pair is linked, directly or through others that are
     themselves within ``radius`` of each other."""
-    if not 0 <= radius <= 2:
-        raise ValueError("large buckets have an exact linear path for a radius of 0, 1 or 2")
-    spark = points.sparkSession
     if radius == 0:
-        return spark.createDataFrame([], "a long, b long")
+        return points.sparkSession.createDataFrame([], "a long, b long")
     n, ones, both = _bit_counts(points)
-    parts = group_bits(n, ones, both, radius + 1)
+    inside = radius > 2  # compared inside tasks, where a comparison costs far less than a row
+    trials = [group_bits(n, ones, both, m) for m in _partition_numbers(radius)]
+    pairs = _equal_pairs(points, [part for parts in trials for part in parts])
+    best = None
+    for number, parts in enumerate(trials):
+        before = sum(map(len, trials[:number]))
+        own = [pairs.get(before + i, 0.0) for i in range(len(parts))]
+        costs = _estimates(n, ones, parts, own, radius, COMPARISON_COST if inside else 1.0)
+        chosen = allocate(costs, radius)
+        cost = sum(row[t + 1] for row, t in zip(costs, chosen))
+        if best is None or cost < best[0]:
+            best = (cost, parts, chosen)
+    _, parts, thresholds = best
+    if inside:
+        return _probed_links(points, parts, thresholds, radius)
     buckets = _keyed(points, parts).groupBy("i", "key").agg(F.count(F.lit(1)).alias("n"))
     buckets = materialize(buckets.filter("n > 1"), "simhash-buckets")
-    # Pairs within the buckets; buckets of one fingerprint have none.
-    pairs = {r["i"]: float(r["pairs"]) for r in buckets.groupBy("i").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).collect()}
-    thresholds = allocate(_estimates(n, ones, parts, pairs, radius), radius)
 
-    hot = buckets.filter(F.col("n") > bucket_rows).select("i", "key", F.lit(True).alias("hot"))
     probed = [i for i, t in enumerate(thresholds) if t >= 0]
     keyed = _keyed(points, [parts[i] for i in probed], probed)
     sparse, dense = [], []
@@ -186,6 +207,204 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _equal_pairs(points: DataFrame, parts: list[list[int]]) -> dict[int, float]:
+    """Per partition how many pairs of points agree on it."""
+    buckets = _keyed(points, parts).groupBy("i", "key").agg(F.count(F.lit(1)).alias("n"))
+    sums = buckets.groupBy("i").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
+    return {r["i"]: float(r["pairs"]) for r in sums.collect()}  # one row per partition
+
+
+def _partition_numbers(radius: int) -> list[int]:
+    """Numbers of partitions to choose from: one bit more than the radius down to two."""
+    return sorted({max(2, -(-(radius + 1) // k)) for k in (1, 2, 3, 4)}, reverse=True)
+
+
+BLOCK_ROWS = 20_000
+#: Cost of comparing two fingerprints inside a task, relative to a probe's row.
+COMPARISON_COST = 0.001
+
+
+def _probed_links(points: DataFrame, parts: list[list[int]], thresholds: list[int], radius: int) -> DataFrame:
+    """The links of ``near_links`` for any radius, compared inside tasks. A bucket is cut into
+    blocks of ``BLOCK_ROWS`` stored points; its probes go to each of them."""
+    probed = [i for i, t in enumerate(thresholds) if t >= 0]
+    stored = materialize(_keyed(points, [parts[i] for i in probed], probed), "simhash-stored")
+    blocks = stored.groupBy("i", "key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias("blocks"))
+    flips = F.lit(None)
+    for i in probed:
+        flips = F.when(F.col("i") == i, _flips(parts[i], thresholds[i])).otherwise(flips)
+    probes = stored.select("i", "fp", "key", F.explode(flips).alias("flip")).select(
+        "i", "fp", F.col("key").bitwiseXOR(F.col("flip")).alias("key")
+    )
+    # Probes of empty buckets end here.
+    met = probes.join(blocks, ["i", "key"]).select(
+        "i", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "fp", F.lit(1).alias("kind")
+    )
+    own = stored.join(blocks, ["i", "key"]).select(
+        "i", "key", F.pmod(F.xxhash64("fp"), F.col("blocks")).alias("block"), "fp", F.lit(0).alias("kind")
+    )
+    width = shuffle_width(points.sparkSession)
+    dealt = own.unionByName(met).repartition(width, "i", "key", "block").sortWithinPartitions("i", "key", "block", "kind")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, bucket, held = _Forest(), None, np.zeros(0, np.int64)
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in ("i", "key", "block", "kind", "fp")]
+            changes = np.zeros(batch.num_rows, bool)
+            for column in columns[:3]:
+                changes[1:] |= column[1:] != column[:-1]
+            starts = [0, *np.flatnonzero(changes).tolist(), batch.num_rows]
+            kind, fps = columns[3:]
+            for low, high in zip(starts, starts[1:]):
+                name = tuple(int(c[low]) for c in columns[:3])
+                if name != bucket:
+                    bucket, held = name, np.zeros(0, np.int64)
+                stored_here = fps[low:high][kind[low:high] == 0]
+                held = np.concatenate((held, stored_here)) if len(stored_here) else held
+                asking = fps[low:high][kind[low:high] == 1]
+                if len(held) == 1 and len(asking) == 1 and held[0] == asking[0]:
+                    continue
+                for at in range(0, len(asking), 128):
+                    some = asking[at : at + 128, None]
+                    near = np.bitwise_count((some ^ held).view(np.uint64)) <= radius
+                    for x, y in zip(*(side.tolist() for side in np.nonzero(near & (some != held)))):
+                        forest.join(int(some[x, 0]), int(held[y]))
+        yield from forest.links()
+
+    return materialize(dealt.mapInArrow(compare, "a long, b long"), "simhash-links")
+
+
+class _Forest:
+    """Union-find over fingerprints or rows that remembers the links it made."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+        self.made: list[tuple[int, int]] = []
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        if a != b and (x := self.root(a)) != (y := self.root(b)):
+            self.parent[max(x, y)] = min(x, y)
+            self.made.append((a, b))
+
+    def links(self) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(self.made), 100_000):
+            a, b = zip(*self.made[at : at + 100_000])
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+# --- similarity -----------------------------------------------------------------
+
+SIMILARITY_SHINGLE, SIMILARITY = 5, 0.8
+#: Of pairs with a five-word similarity of 0.8 or more, 97 to 99 % were within ten bits (README).
+NEAR_RADIUS = 10
+GROUP_ROWS = 500
+
+
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    n = max(1, len(words) - shingle + 1)
+    parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64, n))
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similarity: float = SIMILARITY,
+    similarity_shingle: int = SIMILARITY_SHINGLE,
+    shingle: int = 3,
+    radius: int = NEAR_RADIUS,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """One row per document: id, ``carry``, ``group``. Documents share a group if links lead
+    from one to the other; two are linked if their fingerprints are within ``radius`` bits
+    and the Jaccard similarity of their shingle sets is at least ``similarity``. Texts
+    without words resemble nothing."""
+    spark = docs.sparkSession
+    passed = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
+    text = whole_text(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), *passed)
+    rows = rows.withColumn("fp", fingerprint_column("text", shingle))
+    # Equal rows share a number: they are linked as equal texts are.
+    rows = rows.withColumn("node", F.xxhash64("id", "text")).withColumn("worded", F.col("text").rlike("[^\x20\x09-\x0D]"))
+    plain = materialize(rows.drop("text"), "near-rows")
+    worded = plain.filter("worded")
+    distinct = materialize(worded.groupBy("fp").agg(F.count_distinct("node").alias("n")), "near-distinct")
+    roots = connected_components(near_links(distinct.select("fp"), radius))
+    # Fingerprints that several texts share connect these texts as well.
+    close = distinct.join(roots, F.col("fp") == F.col("node"), "left").filter("root is not null or n > 1").select(
+        "fp", F.coalesce("root", "fp").alias("part")
+    )
+    members = materialize(worded.join(close, "fp").select("node", "part").distinct(), "near-members")
+    sizes = members.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("long").alias("blocks"))
+    again = docs.select(F.xxhash64(F.col(id_col).cast("long"), text).alias("node"), text.alias("text"))
+
+    @F.pandas_udf("binary")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: shingle_set(t, similarity_shingle).tobytes())
+
+    held = again.join(members.join(sizes, "part"), "node").select("part", "blocks", "node", shingles("text").alias("set"))
+    held = materialize(held, "near-shingles")
+    # A group of many texts is compared block by block: each text meets all blocks in turn.
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    spread = held.select("part", "node", "set", block.alias("block"), other).select(
+        "part", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "set"
+    )
+    width = shuffle_width(spark)
+    dealt = spread.repartition(width, "part", "low", "high").sortWithinPartitions("part", "low", "high", "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, name, nodes, sets = _Forest(), None, [], []
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("part", "low", "high")))
+            for i, key in enumerate(keys):
+                if key != name:
+                    _link_similar(forest, nodes, sets, similarity)
+                    name, nodes, sets = key, [], []
+                nodes.append(batch.column("node")[i].as_py())
+                sets.append(np.frombuffer(batch.column("set")[i].as_py(), np.uint64))
+        _link_similar(forest, nodes, sets, similarity)
+        yield from forest.links()
+
+    links = materialize(dealt.mapInArrow(compare, "a long, b long"), "near-verified")
+    groups = connected_components(links).withColumnRenamed("node", "linked")
+    return plain.join(groups, F.col("node") == F.col("linked"), "left").select(
+        F.col("id").alias(id_col),
+        *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)],
+        F.coalesce("root", "node").alias("group"),
+    )
+
+
+def _link_similar(forest: _Forest, nodes: list[int], sets: list[np.ndarray], similarity: float) -> None:
+    """Links all texts of a block pair that are similar enough, skipping what is linked already.
+    Shared shingles are counted through an inverted index, one text at a time."""
+    if len(nodes) < 2:
+        return
+    sizes = np.array([len(s) for s in sets])
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    for i, own in enumerate(sets):
+        low = np.searchsorted(values, own, "left")
+        count = np.searchsorted(values, own, "right") - low
+        at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        shared = np.bincount(owner[at], minlength=len(sets))
+        similar = shared >= similarity * (sizes[i] + sizes - shared)
+        for j in np.flatnonzero(similar[:i] & (shared[:i] > 0)).tolist():
+            forest.join(nodes[i], nodes[j])
+
+
 # --- partitions and thresholds --------------------------------------------------
 
 
@@ -236,7 +455,7 @@ def group_bits(n: int, ones: np.ndarray, both: np.ndarray, m: int) -> list[list[
     return parts
 
 
-def _estimates(n: int, ones: np.ndarray, parts: list[list[int]], pairs: dict, radius: int) -> list[list[float]]:
+def _estimates(n: int, ones: np.ndarray, parts: list[list[int]], pairs: list[float], radius: int, pair_cost: float) -> list[list[float]]:
     """Per partition the estimated cost of thresholds -1, 0, 1, ... radius: candidate
     pairs plus probes. Equal pairs are counted; a differing bit b multiplies them by the
     odds that two points differ there."""
@@ -251,9 +470,9 @@ def _estimates(n: int, ones: np.ndarray, parts: list[list[int]], pairs: dict, ra
                 elementary[t] += elementary[t - 1] * o
         row, candidates, probes = [0.0], 0.0, 0
         for t in range(radius + 1):
-            candidates += max(pairs.get(i, 0.0), 1.0) * elementary[t]
+            candidates += max(pairs[i], 1.0) * elementary[t]
             probes += comb(len(part), t)
-            row.append(candidates + n * probes)
+            row.append(candidates * pair_cost + n * probes)
         costs.append(row)
     return costs
 
