@@ -92,10 +92,8 @@ def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int)
         # a group's members are neighbours in the order, a large group is spread over chunks
         near = F.pmod(F.xxhash64("key"), F.lit(chunks)) * 8 + F.pmod("rid", F.lit(8))
         ranked = ranked_rows(asked, ["shard", "to"], near, ["key", "rid"])
-        limit = F.lit(0)
-        for (a, b), n in quota.items():
-            if n:
-                limit = F.when((F.col("shard") == a) & (F.col("to") == b), n).otherwise(limit)
+        table = F.lit([quota.get((a, b), 0) for a in range(shards) for b in range(shards)])
+        limit = table[F.col("shard") * shards + F.col("to")]
         going = ranked.filter(F.col("rank") < limit).select("rid", "to")
         moved = linked.join(going, "rid", "left").select("rid", "key", F.coalesce("to", "shard").alias("shard"))
         linked = materialize(moved, "sharding-linked")
