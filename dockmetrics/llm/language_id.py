@@ -95,7 +95,8 @@ class LanguageModel:
             for a, b in combinations(members, 2):
                 rows = (labels == a) | (labels == b)
                 pairs[a, b] = fit_svm(x[rows], labels[rows] == a)
-        return cls(families, np.array(weights, np.float32).reshape(len(weights), -1).T, pairs)
+        columns = np.array(weights, np.float32).T if weights else np.zeros((x.shape[1] + 1, 0), np.float32)
+        return cls(families, columns, pairs)
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         if not self.families:

@@ -1,0 +1,238 @@
+"""Decontamination, WARC archives, sharding and the pipeline."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from llm_data import EDGE_ROWS, prose
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from dockmetrics.llm import decontamination as dc
+from dockmetrics.llm import queries
+from dockmetrics.llm.sharding import allowed_moves, shard_documents
+from dockmetrics.llm.warc import plan_records, read_warc, write_warc
+from dockmetrics.session import shared_folder
+
+SF_DIR = "/root/testdata/sf0.001"
+
+# --- decontamination ----------------------------------------------------------------
+
+
+def shingles(text):
+    words = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+    return [tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))] if words else []
+
+
+def best_windows(rows, items):
+    """The best similarity of each document and item over all windows."""
+    best = {}
+    for i, text in rows:
+        hashes = shingles(text)
+        for item, item_text in items:
+            wanted = Counter(shingles(item_text))
+            n = sum(wanted.values())
+            size = min(n, len(hashes))
+            if not n or not size:
+                continue
+            for at in range(len(hashes) - size + 1):
+                window = Counter(hashes[at : at + size])
+                shared = sum((window & wanted).values())
+                score = shared / (n + size - shared)
+                if score >= 0.8:
+                    best[i, item] = max(best.get((i, item), 0), score)
+    return best
+
+
+def test_decontamination_equals_brute_force(spark, docs_of):
+    items = [(k, prose(100 + k, 20 + 3 * k, 3000)) for k in range(12)]
+    items += [(20, None), (21, "..."), (22, "only three words"), (23, items[3][1]), (24, "a b c d e a b c d e a b c d e f"), (None, prose(77, 30, 3000))]
+    rng, rows = random.Random(6), []
+    for k, (item, text) in enumerate(items):
+        if not text:
+            continue
+        words = text.split()
+        around = [prose(500 + k, rng.randrange(60)), prose(600 + k, rng.randrange(60))]
+        edited = list(words)
+        edited[0] = "changed"
+        part = words[: int(len(words) * 0.9)]
+        far = list(words)
+        far[len(far) // 2 :: 7] = ["q"] * len(far[len(far) // 2 :: 7])
+        for j, some in enumerate((words, edited, part, far, words[len(words) // 2 :], [w.upper() + "," for w in words])):
+            rows.append((100 * k + j, " ".join([around[0], *some, around[1]])))
+        rows.append((100 * k + 50, " ".join(words)))
+        rows.append((100 * k + 51, " ".join([*words, "|", *words])))
+    rows += [(9000 + i, prose(i, 300)) for i in range(10)] + [r for r in EDGE_ROWS if r[0] not in (7, 8, 9)] + [(9999, "only three words"), (9998, prose(1, 40_000) + " " + items[5][1])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(0))
+    docs = docs_of(rows).withColumn("item_id", F.lit("clash"))
+    found = dc.decontaminate(docs, benchmark).collect()
+    similar = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
+    expected = best_windows(rows, items)
+    # pairs of the similarity that lie beyond the radius may be missed, no others
+    missed = expected.keys() - similar.keys()
+    assert similar.keys() <= expected.keys()
+    assert all(expected[m] < 0.9 for m in missed) and len(missed) <= 0.05 * len(expected)
+    assert all(abs(similar[k] - expected[k]) < 1e-9 for k in similar)
+    assert all(r["distance"] <= dc.RADIUS for r in found)
+    assert len(similar) > 40
+
+
+def test_decontamination_of_empty_tables(spark, empty_docs, edge_docs):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert dc.decontaminate(edge_docs, none).collect() == []
+    assert dc.decontaminate(empty_docs, spark.createDataFrame([(1, "a b c d e f")], none.schema)).collect() == []
+
+
+def test_lanes_count_like_single_bits(spark):
+    rng = random.Random(3)
+    for n in (1, 2, 3, 100, 127, 128, 129, 1000, 33_000):
+        hashes = [rng.getrandbits(64) - (1 << 63) for _ in range(n)]
+        if n == 127:
+            hashes = [-1] * n
+        found = spark.createDataFrame([(hashes,)], "h array<long>").select(dc.simhash(F.col("h"))).first()[0]
+        expected = sum(1 << b for b in range(64) if 2 * sum((h >> b) & 1 for h in hashes) > n)
+        assert found & (2**64 - 1) == expected, n
+
+
+def test_items_beyond_the_broadcast_bound_are_shuffled(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(dc, "BROADCAST_SHINGLES", 0)
+    items = spark.createDataFrame([(1, prose(9, 30))], "item_id long, text string")
+    found = dc.decontaminate(docs_of([(5, "x " + prose(9, 30) + " y")]), items).collect()
+    assert [(r["doc_id"], r["item_id"], r["similarity"], r["start"]) for r in found] == [(5, 1, 1.0, 1)]
+
+
+# --- WARC -------------------------------------------------------------------------------
+
+PAGES = [
+    (1, "http://a/", "<p>" + "x" * 2000), (2, "http://b/ c\r\nX: y", "<p>" + "x" * 2000), (3, None, "<p>" + "x" * 2000),
+    (4, "http://d", "short"), (5, "http://e", "short"), (6, "http://f", None), (7, "", ""), (None, "http://g", "<p>" + "x" * 2000),
+    (8, "http://é/ü", "é\r\n\r\n🙂" * 500), (9, "u", "é\r\n\r\n🙂" * 500), (9, "u", "é\r\n\r\n🙂" * 500), (10, "big", "y" * 3_000_000), (11, "n", "z" * 999), (12, "n", "z" * 999),
+]
+
+
+def warc_brute(rows):
+    largest = defaultdict(lambda: -1)
+    for i, _, html in rows:
+        raw = (html or "").encode()
+        if len(raw) >= 1000:
+            largest[raw] = max(largest[raw], -1 if i is None else i)
+    out = []
+    for i, _, html in rows:
+        raw = (html or "").encode()
+        refers = largest[raw] if len(raw) >= 1000 and largest[raw] != i else None
+        out.append((i, len(raw), hashlib.sha1(raw).hexdigest(), "response" if refers is None else "revisit", refers))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(("gap", "range_bytes"), [(0, 1), (1 << 20, 1 << 30), (100, 4000)])
+def test_warc_round_trip(spark, rows_of, gap, range_bytes):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumn("content", F.lit(1)).repartition(3)
+    folder = shared_folder(spark, "warc-test")
+    index = write_warc(plan_records(pages), folder)
+    records = read_warc(index, folder, gap=gap, range_bytes=range_bytes)
+    assert rows_of(records, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == warc_brute(PAGES)
+    for r in records.filter("record_type = 'response'").collect():
+        assert hashlib.sha1(r["payload"]).hexdigest() == r["payload_digest"]
+    some = read_warc(index.filter("page_id = 8"), folder).collect()
+    assert [r["page_id"] for r in some] == [8]
+    assert index.select("file", "offset").distinct().count() == len(PAGES)
+
+
+def test_warc_of_an_empty_table(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    folder = shared_folder(spark, "warc-test")
+    assert read_warc(write_warc(plan_records(pages), folder), folder).collect() == []
+
+
+# --- sharding -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("hot", [3, 90])
+def test_sharding_is_even_and_keeps_groups_together(docs_of, hot):
+    rng = random.Random(hot)
+    rows = [(i, "hot" if i < hot else f"text {rng.randrange(120)}") for i in range(200)] + EDGE_ROWS
+    found = shard_documents(docs_of(rows), shards=7).collect()
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in found if r["doc_id"] is not None) == sorted(
+        (i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in rows if i is not None
+    )
+    slots = defaultdict(list)
+    for r in found:
+        assert r["law"] == "rows" and r["grown_shard"] is None
+        slots[r["shard"]].append(r["slot"])
+    assert set(slots) == set(range(7))
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    groups = defaultdict(Counter)
+    for r in found:
+        groups[r["size"], r["text_crc32"]][r["shard"]] += 1
+    cut = sum(sum(c.values()) - max(c.values()) for c in groups.values())
+    unavoidable = max(0, hot - (len(rows) // 7 + 1))
+    assert cut <= unavoidable + 0.15 * len(rows)
+
+
+def test_sharding_of_few_and_no_rows(docs_of, empty_docs):
+    assert shard_documents(empty_docs).collect() == []
+    found = shard_documents(docs_of([(1, "a"), (2, "a")]), shards=24).collect()
+    assert sorted(r["slot"] for r in found) == [0, 0]
+
+
+def test_quotas_never_overfill():
+    wanted = {(0, 1): 10, (1, 0): 4, (2, 1): 20, (0, 2): 3}
+    quota = allowed_moves(wanted, [0, 6, 1])
+    assert quota[0, 1] >= 4 and quota[1, 0] == 4
+    assert sum(n for (a, b), n in quota.items() if b == 1) - sum(n for (a, b), n in quota.items() if a == 1) <= 6
+    assert all(n <= wanted[m] for m, n in quota.items())
+
+
+# --- pipeline -------------------------------------------------------------------------------
+
+
+def test_pipeline_stages_on_planted_rows(spark, docs_of):
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").orderBy("item_id").first()["text"]
+    base = {i: prose(i, 150, 5000) for i in range(12)}
+    near = base[3].split()
+    near[75] = "edited"
+    rows = [*base.items(), (20, base[1] + "\n"), (21, base[2]), (21, base[2]), (22, " ".join(near)), (23, base[4] + " " + item + " " + base[5]), (24, None), (25, "123 !"), (None, base[6])]
+    docs = docs_of(rows)
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.materialize(stage(spark, docs, SF_DIR), "test")
+        kept[name] = Counter(r["doc_id"] for r in docs.select("doc_id").collect())
+        if name != "bpe":
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert kept["language_id"] == Counter(i for i, t in rows if i not in (24, 25))
+    # the longer of two equal texts stays
+    assert kept["exact_dedup"] == Counter([*(i for i in base if i != 1), 20, 22, 23])
+    assert kept["simhash_dedup"] == kept["exact_dedup"] - Counter([22])
+    assert kept["decontamination"] == kept["simhash_dedup"] - Counter([23])
+    assert kept["bpe"] == kept["decontamination"]
+
+
+def test_stages_take_edge_rows_and_empty_tables(spark, edge_docs, empty_docs):
+    for docs in (edge_docs, empty_docs, edge_docs.withColumn("lang", F.lit(None).cast("string"))):
+        for _, stage in corpus_pipeline.STAGES:
+            found = stage(spark, docs, SF_DIR)
+            assert found.count() <= docs.count()
+    # repeated rows count as one from the second stage on
+    for stage in (corpus_pipeline.exact_dedup_stage, corpus_pipeline.simhash_stage):
+        assert stage(spark, edge_docs, SF_DIR).filter("doc_id = 5").count() == 0
+        assert stage(spark, edge_docs, SF_DIR).filter("doc_id = 4").count() == 1
+
+
+# --- registered queries ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_its_sql(spark, name):
+    from oracle import assert_matches
+
+    assert assert_matches(queries.queries()[name](spark, SF_DIR), queries.oracle_sql()[name], SF_DIR) > 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries().keys() - queries.oracle_sql().keys()))
+def test_query_returns_a_row_per_document(spark, name):
+    found = queries.queries()[name](spark, SF_DIR)
+    assert found.count() == (spark.read.parquet(f"{SF_DIR}/documents.parquet").count() if name != "op1_decontamination" else 3)
