@@ -46,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     when.add_argument("--day-of-month", type=int, choices=range(1, 32), metavar="1..31")
     daily.add_argument("--root", required=True)
     daily.add_argument("--history", required=True)
+    daily.add_argument("--skip-unreadable", action="store_true", help="leave damaged files out")
 
     show = jobs.add_parser("snapshot", help="print the head of every result table")
     show.add_argument("--root", required=True)
@@ -54,7 +55,10 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> int:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.job == "ingest" and args.source == "documents":
+        parser.error("ingest writes records: --source must be kafka or files")
     logging.basicConfig(level=logging.INFO)
     spark = build_session(f"dockmetrics-{args.job}")
     if args.job == "snapshot":
@@ -70,13 +74,15 @@ def main(argv: list[str] | None = None) -> int:
             root=args.root,
             history_path=args.history,
             computed_at=datetime.now(UTC),
+            skip_unreadable=args.skip_unreadable,
         )
         return 0 if run.row_count else 1
     spark.streams.addListener(ProgressLog())
     topics = SourceConf(args.source, args.location)
     if args.job == "ingest":
         documents = SourceConf("documents", args.documents)
-        wait(run_ingest_job(spark, documents, topics, args.checkpoints, args.available_now))
+        queries = run_ingest_job(spark, documents, topics, args.checkpoints, args.available_now)
+        wait(queries, bounded=args.available_now)
         return 0
     conf = StreamConf(
         source=topics,

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 _SECONDS = "(unix_date(cast(ts as date)) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + second(ts))"
 
+#: The user's station; every 50th user is at one that the dimension lacks.
+_STATION = "case when user_id % 50 = 7 then concat('x', user_id) else cast(user_id as string) end"
+
 
 def _events(spark: SparkSession, sf_dir: str, tick: int = 60) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
@@ -25,10 +28,9 @@ def _events(spark: SparkSession, sf_dir: str, tick: int = 60) -> DataFrame:
 
 
 def station_information(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as stations; every 50th is left out."""
+    """Customers as stations."""
     return (
         spark.read.parquet(f"{sf_dir}/customer.parquet")
-        .filter("c_custkey % 50 <> 7")
         .selectExpr(
             "cast(c_custkey as string) as station_id",
             "cast(10 + c_custkey % 20 as int) as capacity",
@@ -41,7 +43,7 @@ def station_status(spark: SparkSession, sf_dir: str, tick: int = 60) -> DataFram
     """Each event as a status report of its user's station, at a multiple of
     ``tick`` seconds: whole minutes let stations share a time, as a poll does."""
     return _events(spark, sf_dir, tick).selectExpr(
-        "cast(user_id as string) as station_id",
+        f"{_STATION} as station_id",
         "cast(k % (11 + user_id % 20) as int) as num_bikes_available",
         "cast(10 + user_id % 20 - k % (11 + user_id % 20) as int) as num_docks_available",
         "last_reported",
@@ -49,10 +51,11 @@ def station_status(spark: SparkSession, sf_dir: str, tick: int = 60) -> DataFram
 
 
 def free_bike_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event as a report of one of 400 bikes."""
+    """Each event as a report of a bike; there are 25 reports per bike."""
+    fleet = max(1, spark.read.parquet(f"{sf_dir}/events.parquet").count() // 25)
     return _events(spark, sf_dir).selectExpr(
-        "cast(event_id % 400 as string) as bike_id",
-        "case when event_type = 'error' then '' else cast(user_id as string) end as station_id",
+        f"cast(event_id % {fleet} as string) as bike_id",
+        f"case when event_type = 'error' then '' else {_STATION} end as station_id",
         "last_reported",
         "k % 3 = 0 as is_reserved",
         "k % 5 = 0 as is_disabled",

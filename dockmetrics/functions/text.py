@@ -10,14 +10,15 @@ from pyspark.sql import types as T
 
 
 def display_round(df: DataFrame, digits: int = 2) -> DataFrame:
-    """Round float and double columns, halves to the even digit; leave others alone.
+    """Round float columns, halves to the even digit; leave others alone.
 
-    A float is widened first, so that the exact binary value is rounded and not
-    its shorter decimal spelling.
+    A float is widened first, so that its exact binary value is rounded and not its
+    shorter decimal spelling. A double has no wider type to be shown in; no result
+    table has one, and doubles stay as they are.
     """
 
     def shown(field: T.StructField):
-        if isinstance(field.dataType, T.FloatType | T.DoubleType):
+        if isinstance(field.dataType, T.FloatType):
             return F.bround(F.col(field.name).cast("double"), digits).alias(field.name)
         return F.col(field.name)
 

@@ -73,7 +73,8 @@ class TableSpec:
     descending) pairs. A ``merge`` table keeps the last row written per key; a
     ``replace`` table shows only the rows of its newest write. ``version`` lists
     columns that break ties between rows of one key inside one write, greatest
-    first; whatever is left is settled by the remaining columns.
+    first; whatever is left is settled by the remaining columns. ``partition``
+    names the key column by whose values a merge table is laid out.
     """
 
     name: str
@@ -82,6 +83,7 @@ class TableSpec:
     order: tuple[tuple[str, bool], ...]
     mode: str = "merge"
     version: tuple[str, ...] = ()
+    partition: str | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -104,6 +106,7 @@ STATION_STATUS_WINDOWED = TableSpec(
     ),
     keys=("day", "timestamp"),
     order=(("day", True), ("timestamp", True)),
+    partition="day",
 )
 
 STATION_DIMENSION = TableSpec(
@@ -126,6 +129,7 @@ BIKE_STATUS = TableSpec(
     ),
     keys=("day", "timestamp"),
     order=(("day", True), ("timestamp", True)),
+    partition="day",
 )
 
 BIKE_SITUATION = TableSpec(

@@ -54,7 +54,8 @@ def top_range(
     """The ``k`` reports with most range left, among bikes at a known station.
 
     ``latest_per_bike`` looks at each bike's last report only, so one bike cannot
-    take two places. Equal ranges are ordered by bike id, then newest first.
+    take two places. Equal ranges are ordered by bike id, then newest first,
+    then by station id.
     Batch only: a stream calls it per micro-batch.
     """
     require_columns(bikes, ["bike_id", "station_id", "last_reported", "current_range_meters"])
@@ -62,7 +63,12 @@ def top_range(
     reports = bikes.select("bike_id", "station_id", "last_reported", "current_range_meters")
     if latest_per_bike:
         reports = latest_by_key(reports, ["bike_id"], ["last_reported", "current_range_meters"])
-    best_first = [F.desc("current_range_meters"), F.asc("bike_id"), F.desc("last_reported")]
+    best_first = [
+        F.desc("current_range_meters"),
+        F.asc("bike_id"),
+        F.desc("last_reported"),
+        F.asc("station_id"),
+    ]
     stations = stations.select("station_id", "station_name")
     if not fits_broadcast(stations):
         # Whether a report counts depends on its station alone, so the k best of

@@ -7,11 +7,11 @@ from collections.abc import Iterable
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from dockmetrics.functions.text import column_label, display_round, table_label
-from dockmetrics.model import RESULT_TABLES
-from dockmetrics.sources.tables import read_table
+from dockmetrics.model import RESULT_TABLES, TableSpec
+from dockmetrics.sources.tables import partition_values, read_table
 
 logger = logging.getLogger(__name__)
 
@@ -26,6 +26,28 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     return list(RESULT_TABLES)
 
 
+def _head(spark: SparkSession, root: str, spec: TableSpec, n: int) -> DataFrame:
+    """The first rows, read here and not later: a damaged file shows only when it is read.
+
+    A table laid out by its first serving column is read value by value, newest first,
+    until there are enough rows; older values are not even listed.
+    """
+
+    def first(rows: DataFrame, most: int) -> list[Row]:
+        return display_round(rows.orderBy(*spec.sort_columns()).limit(most)).collect()
+
+    table = read_table(spark, root, spec, [] if spec.partition else None)
+    shape = display_round(table).schema
+    if not spec.partition or spec.order[0] != (spec.partition, True):
+        return spark.createDataFrame(first(read_table(spark, root, spec), n), shape)
+    rows: list[Row] = []
+    for value in reversed(partition_values(spark, root, spec)):
+        if len(rows) >= n:
+            break
+        rows += first(read_table(spark, root, spec, [value]), n - len(rows))
+    return spark.createDataFrame(rows, shape)
+
+
 def snapshot(
     spark: SparkSession,
     root: str,
@@ -36,15 +58,14 @@ def snapshot(
 ) -> dict[str, DataFrame]:
     """The first ``n`` rows of each table in its serving order, fractions rounded.
 
-    ``labels`` turns table and column names into headings. A table that cannot
+    The rows, ``n`` per table at most, pass through the driver. ``labels`` turns table and column names into headings. A table that cannot
     be read is logged and left out.
     """
     shown = {}
     for name in tables:
         try:
             spec = RESULT_TABLES[name]
-            head = read_table(spark, root, spec).orderBy(*spec.sort_columns()).limit(n)
-            head = display_round(head)
+            head = _head(spark, root, spec, n)
         except (KeyError, PySparkException, Py4JError):
             logger.exception("table %s cannot be read", name)
             continue

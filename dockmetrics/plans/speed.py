@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,7 @@ from dockmetrics.sources.feeds import (
     ensure_topic,
     explode_feed,
     publish,
+    read_landed,
     read_topic,
 )
 from dockmetrics.sources.files import remove_tree
@@ -112,7 +115,7 @@ def _start_status_rollup(spark: SparkSession, conf: StreamConf) -> StreamingQuer
         watermark=conf.watermark,
     )
     checkpoint = f"{conf.checkpoints}/station_status"
-    writer = upsert_sink(totals, conf.root, STATION_STATUS_WINDOWED, checkpoint)
+    writer = upsert_sink(totals, conf.root, STATION_STATUS_WINDOWED, checkpoint, unique=True)
     return _start(conf, writer, conf.trigger)
 
 
@@ -148,6 +151,7 @@ def run_stream_job(spark: SparkSession, conf: StreamConf) -> dict[str, Streaming
         conf.root,
         BIKE_STATUS,
         f"{conf.checkpoints}/abandoned_bikes",
+        unique=True,
     )
     history = history_sink(
         _records(spark, conf.source, STATION_STATUS),
@@ -155,20 +159,36 @@ def run_stream_job(spark: SparkSession, conf: StreamConf) -> dict[str, Streaming
         f"{conf.checkpoints}/history",
         rebalance=conf.rebalance_history,
     )
-    return {
-        "station_information": (
-            drained if conf.available_now else _dimension_writer(spark, conf).start()
+    starts = {
+        "station_information": lambda: (
+            drained
+            if conf.available_now
+            else _start(conf, _dimension_writer(spark, conf), conf.trigger)
         ),
-        "station_status": _start_status_rollup(spark, conf),
-        "abandoned_bikes": _start(conf, abandoned, conf.trigger),
-        "bike_situation": _start(
+        "station_status": lambda: _start_status_rollup(spark, conf),
+        "abandoned_bikes": lambda: _start(conf, abandoned, conf.trigger),
+        "bike_situation": lambda: _start(
             conf, snapshot_of_bikes(BIKE_SITUATION, situations), conf.trigger
         ),
-        "most_charged_bikes": _start(
+        "most_charged_bikes": lambda: _start(
             conf, snapshot_of_bikes(MOST_CHARGED_BIKES, most_charged), conf.trigger
         ),
-        "history": _start(conf, history, conf.history_trigger),
+        "history": lambda: _start(conf, history, conf.history_trigger),
     }
+    return _start_all(starts)
+
+
+def _start_all(starts: dict[str, Callable[[], StreamingQuery]]) -> dict[str, StreamingQuery]:
+    """All queries, or none: if one cannot start, the others are stopped."""
+    queries: dict[str, StreamingQuery] = {}
+    try:
+        for name, start in starts.items():
+            queries[name] = start()
+    except BaseException:
+        for query in queries.values():
+            query.stop()
+        raise
+    return queries
 
 
 def stations_digest(spark: SparkSession, conf: StreamConf) -> tuple:
@@ -207,10 +227,23 @@ def keep_running(
             raise query.exception()
 
 
-def wait(queries: dict[str, StreamingQuery]) -> None:
-    """Until all queries of a bounded run are done; raises if one fails."""
+def wait(
+    queries: dict[str, StreamingQuery], *, bounded: bool = True, check_seconds: float = 5
+) -> None:
+    """Until all queries of a bounded run are done, or, of an unbounded one, until any
+    ends. An error of any query stops the others and is raised."""
+    try:
+        while active := [query for query in queries.values() if query.isActive]:
+            ended = [query for query in queries.values() if not query.isActive]
+            if any(query.exception() for query in ended) or (ended and not bounded):
+                break
+            active[0].awaitTermination(check_seconds)
+    finally:
+        for query in queries.values():
+            query.stop()
     for query in queries.values():
-        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
 
 
 def run_ingest_job(
@@ -221,12 +254,12 @@ def run_ingest_job(
     available_now: bool = False,
 ) -> dict[str, StreamingQuery]:
     """Turn landed feed documents into topic records, one query per feed."""
-    queries = {}
-    for topic in RECORD_SCHEMAS:
+    trigger = {"availableNow": True} if available_now else {"processingTime": "60 seconds"}
+
+    def start(topic: str) -> StreamingQuery:
         ensure_topic(spark, documents, topic)
-        folder = f"{documents.location}/{topic}"
-        landed = spark.readStream.text(folder, wholetext=True)
+        landed = read_landed(spark, documents, topic)
         writer = publish(explode_feed(landed, topic), topics, topic, f"{checkpoints}/{topic}")
-        trigger = {"availableNow": True} if available_now else {"processingTime": "60 seconds"}
-        queries[topic] = writer.trigger(**trigger).start()
-    return queries
+        return writer.trigger(**trigger).start()
+
+    return _start_all({topic: partial(start, topic) for topic in RECORD_SCHEMAS})

@@ -7,7 +7,9 @@ from dockmetrics.sources.feeds import (
     ensure_topic,
     explode_feed,
     kafka_options,
+    kafka_sink_options,
     publish,
+    read_landed,
     read_topic,
 )
 from dockmetrics.sources.history import (
@@ -16,6 +18,7 @@ from dockmetrics.sources.history import (
     read_day_of_month_history,
     read_history,
     union_history,
+    unreadable_files,
     write_history,
 )
 from dockmetrics.sources.tables import compact, ensure_tables, next_run, read_table, upsert
@@ -30,14 +33,17 @@ __all__ = [
     "explode_feed",
     "history_rows",
     "kafka_options",
+    "kafka_sink_options",
     "next_run",
     "parse_day",
     "publish",
     "read_day_of_month_history",
     "read_history",
+    "read_landed",
     "read_table",
     "read_topic",
     "union_history",
+    "unreadable_files",
     "upsert",
     "write_history",
 ]

@@ -20,13 +20,19 @@ class SourceConf:
     ``kind`` is ``kafka``, ``files`` (``location/<topic>/`` holds text files, one
     record per line) or ``documents`` (``location/<topic>/`` holds whole feed
     documents, one per file). ``per_trigger`` bounds a micro-batch: records for
-    Kafka, files otherwise.
+    Kafka, files otherwise. ``starting_offsets`` is for Kafka; a folder is always
+    read from its first file.
+
+    ``max_file_age`` is how far behind the newest file another may lie and still be
+    read. The default drops none, so that backfills can be landed late; its cost is
+    the list of all files seen, which a shorter age lets Spark forget.
     """
 
     kind: str
     location: str
     starting_offsets: str = "latest"
     per_trigger: int | None = None
+    max_file_age: str = "36500d"
     options: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -105,6 +111,13 @@ def kafka_options(conf: SourceConf, topic: str) -> dict[str, str]:
     return {**options, **conf.options}
 
 
+def kafka_sink_options(conf: SourceConf, topic: str) -> dict[str, str]:
+    """Writer options of a Kafka topic; of the other options only the client's
+    (``kafka.*``), such as those of a secured broker, concern a writer."""
+    client = {k: v for k, v in conf.options.items() if k.startswith("kafka.")}
+    return {"kafka.bootstrap.servers": conf.location, "topic": topic, **client}
+
+
 def ensure_topic(spark: SparkSession, conf: SourceConf, topic: str) -> None:
     """Let a file topic be read before its first record lands. Kafka topics are
     the broker's business."""
@@ -118,15 +131,20 @@ def read_topic(spark: SparkSession, conf: SourceConf, topic: str) -> DataFrame:
     if conf.kind == "kafka":
         stream = spark.readStream.format("kafka").options(**kafka_options(conf, topic)).load()
         return stream.select("value", F.struct("timestamp", "offset").alias(ARRIVED))
-    reader = spark.readStream.options(**conf.options)
-    if conf.per_trigger:
-        reader = reader.option("maxFilesPerTrigger", conf.per_trigger)
-    lines = reader.text(f"{conf.location}/{topic}", wholetext=conf.kind == "documents")
+    lines = read_landed(spark, conf, topic)
     landed = F.struct("_metadata.file_modification_time", "_metadata.file_path")
     messages = lines.select("value", landed.alias(ARRIVED))
     return explode_feed(messages, topic) if conf.kind == "documents" else messages
 
 
+def read_landed(spark: SparkSession, conf: SourceConf, topic: str) -> DataFrame:
+    """The files of a topic's folder as a stream: their lines, or whole documents."""
+    reader = spark.readStream.option("maxFileAge", conf.max_file_age).options(**conf.options)
+    if conf.per_trigger:
+        reader = reader.option("maxFilesPerTrigger", conf.per_trigger)
+    return reader.text(f"{conf.location}/{topic}", wholetext=conf.kind == "documents")
+
+
 def publish(messages: DataFrame, conf: SourceConf, topic: str, checkpoint: str):
     """A stream writer that appends ``value`` to a topic; call ``start()`` on it.
 
@@ -134,9 +152,5 @@ def publish(messages: DataFrame, conf: SourceConf, topic: str, checkpoint: str):
     """
     writer = messages.select("value").writeStream.option("checkpointLocation", checkpoint)
     if conf.kind == "kafka":
-        return (
-            writer.format("kafka")
-            .option("kafka.bootstrap.servers", conf.location)
-            .option("topic", topic)
-        )
+        return writer.format("kafka").options(**kafka_sink_options(conf, topic))
     return writer.format("text").option("path", f"{conf.location}/{topic}")

@@ -1,7 +1,11 @@
-"""Listing and removing paths through the file system Spark itself uses."""
+"""Listing and removing paths through the file system Spark itself uses.
+
+These calls go through the JVM bridge of a classic session.
+"""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -22,6 +26,30 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found] if found else []
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file was last written, in epoch seconds."""
+    fs, target = _resolve(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000
+
+
+def set_modified(spark: SparkSession, path: str, seconds: float) -> None:
+    """Give a file another time of writing."""
+    fs, target = _resolve(spark, path)
+    fs.setTimes(target, int(seconds * 1000), -1)
+
+
+def has_footer(spark: SparkSession, path: str) -> bool:
+    """Whether a file ends as a Parquet file must; a cut or foreign file does not."""
+    jvm = spark._jvm.org.apache
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    try:
+        source = jvm.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.hadoop.fs.Path(path), conf)
+        jvm.parquet.hadoop.ParquetFileReader.open(source).close()
+    except Py4JJavaError:
+        return False
+    return True
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.mkdirs(target)

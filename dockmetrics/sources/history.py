@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 from datetime import date
 from functools import reduce
@@ -12,7 +13,9 @@ from pyspark.sql import types as T
 
 from dockmetrics.functions.time import with_event_time, with_partition_keys
 from dockmetrics.model import HISTORY_SCHEMA, STATION_STATUS_SCHEMA, require_columns
-from dockmetrics.sources.files import exists
+from dockmetrics.sources.files import exists, has_footer, matching
+
+logger = logging.getLogger(__name__)
 
 
 def history_rows(status: DataFrame) -> DataFrame:
@@ -39,30 +42,88 @@ def read_history(
     day: date | str | None = None,
     *,
     day_of_month: int | None = None,
-    skip_unreadable: bool = True,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """History rows of one date, or all of them.
 
-    The filter is on the partition column, so only that date's folders are
-    listed and read. ``day_of_month`` selects that day of every month and year.
+    Of a history that batches wrote only the date's folders are listed and read. One
+    that a stream wrote is listed by the stream's log, and the filter on the partition
+    column prunes it. ``day_of_month`` selects that day of every month and year.
     A folder that does not exist reads as empty.
+
+    An unreadable file is an error. ``skip_unreadable`` leaves out the files that
+    ``unreadable_files`` names and logs them; a file that breaks in the middle stays
+    an error.
     """
+    files, bad = _files(spark, path, day, day_of_month) if skip_unreadable else ([], [])
+    for file in bad:
+        logger.warning("skipped unreadable history file %s", file)
+    if bad and not files:
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+    return _history(spark, path, day, day_of_month, files if bad else None)
+
+
+def unreadable_files(
+    spark: SparkSession,
+    path: str,
+    day: date | str | None = None,
+    *,
+    day_of_month: int | None = None,
+) -> list[str]:
+    """The files of a history that are no whole Parquet files. Looks at each file's
+    end from the driver: meant for the files of a day."""
+    return _files(spark, path, day, day_of_month)[1]
+
+
+def _files(
+    spark: SparkSession, path: str, day: date | str | None, day_of_month: int | None
+) -> tuple[list[str], list[str]]:
+    """Readable and unreadable files of the chosen days."""
+    files = _history(spark, path, day, day_of_month).inputFiles()
+    if day is not None:
+        files = [f for f in files if f"/day={parse_day(day)}/" in f]
+    if day_of_month is not None:
+        files = [f for f in files if f"-{day_of_month:02d}/hour=" in f]
+    readable = {f: has_footer(spark, f) for f in files}
+    return [f for f in files if readable[f]], [f for f in files if not readable[f]]
+
+
+def _history(
+    spark: SparkSession,
+    path: str,
+    day: date | str | None,
+    day_of_month: int | None,
+    files: list[str] | None = None,
+) -> DataFrame:
     if day_of_month is not None and not 1 <= day_of_month <= 31:
         raise ValueError(f"day of month must be 1 to 31, not {day_of_month}")
-    if not exists(spark, path):
+    day = None if day is None else parse_day(day)
+    paths = files or _folders(spark, path, day, day_of_month)
+    if not paths:
         return spark.createDataFrame([], HISTORY_SCHEMA)
-    history = (
-        spark.read.schema(HISTORY_SCHEMA)
-        .option("ignoreCorruptFiles", str(skip_unreadable).lower())
-        .parquet(path)
-    )
+    reader = spark.read.schema(HISTORY_SCHEMA)
+    if paths != [path.rstrip("/")]:
+        reader = reader.option("basePath", path)
+    history = reader.parquet(*paths)
     if day is not None:
-        history = history.filter(F.col("day") == F.lit(parse_day(day)))
+        history = history.filter(F.col("day") == F.lit(day))
     if day_of_month is not None:
         history = history.filter(F.dayofmonth("day") == day_of_month)
     return history
 
 
+def _folders(
+    spark: SparkSession, path: str, day: date | None, day_of_month: int | None
+) -> list[str]:
+    """The folders that hold the chosen days; none if there are none."""
+    path = path.rstrip("/")
+    if not exists(spark, path):
+        return []
+    if exists(spark, f"{path}/_spark_metadata") or (day is None and day_of_month is None):
+        return [path]
+    return matching(spark, f"{path}/day={day}" if day else f"{path}/day=*-{day_of_month:02d}")
+
+
 def read_day_of_month_history(
     spark: SparkSession, path: str, day: date | str | None = None
 ) -> DataFrame:
@@ -75,6 +136,8 @@ def read_day_of_month_history(
     layout = T.StructType(
         [*HISTORY_SCHEMA.fields[:-2], *(T.StructField(c, T.IntegerType()) for c in columns[-2:])]
     )
+    if not exists(spark, path):
+        return spark.createDataFrame([], HISTORY_SCHEMA)
     history = spark.read.schema(layout).parquet(path)
     if day is None:
         return with_partition_keys(history).select(*columns)

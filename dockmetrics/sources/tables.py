@@ -7,11 +7,17 @@ A write counts once its ``_SUCCESS`` marker is there. Each table has one writer.
 
 ``base/run=<r>/batch_id=<n>`` is the outcome of folding all writes up to that
 one; readers take the newest base and the writes after it.
+
+A table with a ``partition`` column has a folder per value (``day=<d>``) in each
+write and base. A folding then holds only the values written since the one before;
+readers take each value from its newest base. So neither a fold nor a read of some
+values touches the rest of the table.
 """
 
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Iterable
 from functools import reduce
 from typing import NamedTuple
@@ -21,7 +27,7 @@ from pyspark.sql import types as T
 
 from dockmetrics.model import ARRIVED, TableSpec, conform
 from dockmetrics.operators.keyed import latest_by_key
-from dockmetrics.sources.files import matching, remove_tree
+from dockmetrics.sources.files import matching, modified, remove_tree
 
 _VERSION = re.compile(r"run=(\d+)/batch_id=(\d+)")
 
@@ -69,9 +75,13 @@ def next_run(spark: SparkSession, root: str, spec: TableSpec) -> int:
     return 1 + max((int(folder.rsplit("=", 1)[1]) for folder in folders), default=0)
 
 
-def write_batch(df: DataFrame, root: str, spec: TableSpec, run: int, batch_id: int) -> None:
+def write_batch(
+    df: DataFrame, root: str, spec: TableSpec, run: int, batch_id: int, *, unique: bool = False
+) -> None:
     """Store ``df`` as one write of the table, one row per key.
 
+    ``unique`` says that it has one already, as an aggregate by the key does.
+
     Rows with a null key are left out: no keyed table can hold them. The last row
     of a key by the table's version columns, then by arrival, counts. Copies are
     folded before the shuffle, and planned adaptively the files are as
@@ -79,8 +89,19 @@ def write_batch(df: DataFrame, root: str, spec: TableSpec, run: int, batch_id: i
     """
     arrival = [c for c in df.columns if c == ARRIVED]
     rows = conform(df, spec, *arrival).dropna(subset=list(spec.keys))
-    rows = latest_by_key(rows, spec.keys, [*spec.version, *arrival]).drop(ARRIVED)
-    rows.write.mode("overwrite").parquet(write_path(root, spec, run, batch_id))
+    if not unique:
+        rows = latest_by_key(rows, spec.keys, [*spec.version, *arrival])
+    rows = rows.drop(ARRIVED)
+    _save(rows, spec, write_path(root, spec, run, batch_id))
+
+
+def _save(rows: DataFrame, spec: TableSpec, path: str) -> None:
+    if not spec.partition:
+        rows.write.mode("overwrite").parquet(path)
+        return
+    # gathered by value, else every task would leave a file for each of them
+    rows = rows.hint("rebalance", spec.partition)
+    rows.write.mode("overwrite").partitionBy(spec.partition).parquet(path)
 
 
 def ensure_tables(spark: SparkSession, root: str, specs: Iterable[TableSpec]) -> None:
@@ -95,7 +116,7 @@ def upsert(df: DataFrame, root: str, spec: TableSpec) -> None:
     write_batch(df, root, spec, next_run(df.sparkSession, root, spec), 0)
 
 
-def _read_parts(spark: SparkSession, folder: str, spec: TableSpec, parts: list[Write]) -> DataFrame:
+def _read_parts(spark: SparkSession, folder: str, spec: TableSpec, paths: list[str]) -> DataFrame:
     versioned = T.StructType(
         [
             *spec.schema.fields,
@@ -103,57 +124,131 @@ def _read_parts(spark: SparkSession, folder: str, spec: TableSpec, parts: list[W
             T.StructField("batch_id", T.LongType()),
         ]
     )
-    paths = [part.path for part in parts]
     return spark.read.schema(versioned).option("basePath", folder).parquet(*paths)
 
 
-def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+class Part(NamedTuple):
+    """One partition value's folder within a write or base."""
+
+    version: tuple[int, int]
+    value: str
+    path: str
+
+
+def _value_parts(spark: SparkSession, folder: str, spec: TableSpec, done: list[Write]) -> list[Part]:
+    """The partition folders of completed writes, oldest first."""
+    known = {write.version for write in done}
+    found = []
+    for path in matching(spark, f"{folder}/run=*/batch_id=*/{spec.partition}=*"):
+        version = tuple(map(int, _VERSION.search(path).groups()))
+        if version in known:
+            found.append(Part(version, path.rsplit("=", 1)[1], path))
+    return sorted(found)
+
+
+def _partitioned_paths(
+    spark: SparkSession, root: str, spec: TableSpec, values: Iterable[str] | None = None
+) -> tuple[list[str], list[str]]:
+    """Folders to read: of the bases, and of the writes after the newest base."""
+    folder = table_path(root, spec)
+    folded = bases(spark, root, spec)
+    newest = folded[-1].version if folded else (-1, -1)
+    chosen = None if values is None else set(values)
+    base_of = {p.value: p.path for p in _value_parts(spark, f"{folder}/base", spec, folded)}
+    late = [w for w in writes(spark, root, spec) if w.version > newest]
+    recent = _value_parts(spark, folder, spec, late)
+    return (
+        [path for value, path in base_of.items() if chosen is None or value in chosen],
+        [p.path for p in recent if chosen is None or p.value in chosen],
+    )
+
+
+def partition_values(spark: SparkSession, root: str, spec: TableSpec) -> list[str]:
+    """The values of the partition column that the table holds, in ascending order."""
+    paths = [path for part in _partitioned_paths(spark, root, spec) for path in part]
+    return sorted({path.rsplit("=", 1)[1] for path in paths})
+
+
+def read_table(
+    spark: SparkSession, root: str, spec: TableSpec, values: Iterable[str] | None = None
+) -> DataFrame:
     """Current rows of a table; empty if nothing was written yet.
 
-    Filters on key columns reach the Parquet scan.
+    Filters on key columns reach the Parquet scan. ``values`` of the partition column
+    restrict even the listing to their folders.
     """
     folder = table_path(root, spec)
-    done = writes(spark, root, spec)
-    if spec.mode == "replace":
-        done = done[-1:]
-        if not done:
-            return spark.createDataFrame([], spec.schema)
-        return _read_parts(spark, folder, spec, done).select(*spec.columns)
-    folded = bases(spark, root, spec)[-1:]
-    if folded:
-        done = [w for w in done if w.version > folded[0].version]
+    if spec.partition:
+        folded, done = _partitioned_paths(spark, root, spec, values)
+    else:
+        late = writes(spark, root, spec)
+        newest = bases(spark, root, spec)[-1:]
+        if spec.mode == "replace":
+            late, newest = late[-1:], []
+        elif newest:
+            late = [w for w in late if w.version > newest[0].version]
+        folded, done = [w.path for w in newest], [w.path for w in late]
     parts = [_read_parts(spark, f"{folder}/base", spec, folded)] if folded else []
     if done:
         parts.append(_read_parts(spark, folder, spec, done))
     if not parts:
         return spark.createDataFrame([], spec.schema)
-    if len(folded) + len(done) == 1:
+    # a base has one row per key, and so has a write
+    if not done or (not folded and len(done) == 1):
         return parts[0].select(*spec.columns)
     versions = reduce(DataFrame.unionByName, parts)
     order = ["run", "batch_id", *spec.version]
     return latest_by_key(versions, spec.keys, order).select(*spec.columns)
 
 
-def compact(spark: SparkSession, root: str, spec: TableSpec) -> None:
-    """Fold what was written so far, and drop what the previous folding covers.
+#: How long files stay that newer ones replace; longer than any job that reads them.
+RETAIN_SECONDS = 6 * 3600
 
-    The writes folded now stay until the next call, for readers that already
-    listed them. A replace table just loses all but its last two writes. Only
-    the table's writer may call this.
+
+def compact(
+    spark: SparkSession, root: str, spec: TableSpec, retain_seconds: float = RETAIN_SECONDS
+) -> None:
+    """Fold what was written so far, and drop what has been replaced for long enough.
+
+    Readers keep the files they listed: a write stays until the folding that covers
+    it, and a folding until the next one, is ``retain_seconds`` old. A replace
+    table keeps each write until the next is that old. Only the table's writer may
+    call this.
     """
     done = writes(spark, root, spec)
+    old = time.time() - retain_seconds
     if spec.mode == "replace":
-        for write in done[:-2]:
-            remove_tree(spark, write.path)
+        for write, following in zip(done, done[1:]):
+            if modified(spark, f"{following.path}/_SUCCESS") <= old:
+                remove_tree(spark, write.path)
         return
-    previous = bases(spark, root, spec)
-    if not done or (previous and done[-1].version <= previous[-1].version):
+    folded = bases(spark, root, spec)
+    if done and (not folded or done[-1].version > folded[-1].version):
+        newest = done[-1]
+        target = f"{table_path(root, spec)}/base/run={newest.run}/batch_id={newest.batch_id}"
+        touched = None
+        if spec.partition:
+            recent = [w for w in done if not folded or w.version > folded[-1].version]
+            touched = {p.value for p in _value_parts(spark, table_path(root, spec), spec, recent)}
+        _save(read_table(spark, root, spec, touched), spec, target)
+        folded = bases(spark, root, spec)
+    aged = [b for b in folded if modified(spark, f"{b.path}/_SUCCESS") <= old]
+    if not aged:
         return
-    newest = done[-1]
-    target = f"{table_path(root, spec)}/base/run={newest.run}/batch_id={newest.batch_id}"
-    read_table(spark, root, spec).write.mode("overwrite").parquet(target)
-    if previous:
-        covered = previous[-1].version
-        for write in [*done, *previous[:-1]]:
-            if write.version <= covered:
-                remove_tree(spark, write.path)
+    for write in done:
+        if write.version <= aged[-1].version:
+            remove_tree(spark, write.path)
+    if not spec.partition:
+        for base in aged[:-1]:
+            remove_tree(spark, base.path)
+        return
+    # of each value the newest aged base stays; bases without any value left go
+    parts = _value_parts(spark, f"{table_path(root, spec)}/base", spec, aged)
+    current = {p.value: p for p in parts}
+    for part in parts:
+        if current[part.value] != part:
+            remove_tree(spark, part.path)
+    held = {part.version for part in current.values()}
+    for base in aged[:-1]:
+        if base.version not in held:
+            remove_tree(spark, base.path)

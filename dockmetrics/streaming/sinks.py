@@ -56,12 +56,14 @@ def _table_sink(
     prepare: Prepare | None,
     output_mode: str,
     compact_every: int,
+    unique: bool = False,
 ) -> DataStreamWriter:
     run = _run_of(df.sparkSession, root, spec, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         with _adaptive(batch.sparkSession):
-            write_batch(prepare(batch) if prepare else batch, root, spec, run, batch_id)
+            rows = prepare(batch) if prepare else batch
+            write_batch(rows, root, spec, run, batch_id, unique=unique)
             if compact_every and batch_id % compact_every == compact_every - 1:
                 compact(batch.sparkSession, root, spec)
 
@@ -82,13 +84,18 @@ def upsert_sink(
     prepare: Prepare | None = None,
     output_mode: str = "update",
     compact_every: int = COMPACT_EVERY,
+    unique: bool = False,
 ) -> DataStreamWriter:
     """Merge each micro-batch into a table by key; rows of later batches win.
 
+    ``unique`` spares the fold by key for rows that a rollup already made unique.
+
     Suits update mode: a rollup sends its running totals again, and they take
     the place of the earlier ones.
     """
-    return _table_sink(df, root, spec, checkpoint, prepare, output_mode, compact_every)
+    return _table_sink(
+        df, root, spec, checkpoint, prepare, output_mode, compact_every, unique
+    )
 
 
 def replace_sink(

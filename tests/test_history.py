@@ -10,6 +10,7 @@ from dockmetrics.sources import (
     read_day_of_month_history,
     read_history,
     union_history,
+    unreadable_files,
     write_history,
 )
 
@@ -81,9 +82,32 @@ def test_missing_folder_reads_as_empty(spark, tmp_path):
 def test_unreadable_files_are_skipped_or_reported(spark, history):
     folder = next(Path(history).glob("day=2024-01-27/hour=3"))
     (folder / "part-bad.parquet").write_bytes(b"not parquet at all")
-    assert len(ids(read_history(spark, history))) == 5
+    assert len(ids(read_history(spark, history, skip_unreadable=True))) == 5
     with pytest.raises(Exception, match="part-bad"):
-        read_history(spark, history, skip_unreadable=False).collect()
+        read_history(spark, history).collect()
+    bad = unreadable_files(spark, history, "2024-01-27")
+    assert [f.rsplit("/", 1)[1] for f in bad] == ["part-bad.parquet"]
+    assert unreadable_files(spark, history, "2024-01-05") == []
+    assert unreadable_files(spark, history, day_of_month=27) == bad
+    # a day of which nothing can be read is an empty day
+    only = Path(history) / "day=2023-07-01/hour=1"
+    only.mkdir(parents=True)
+    (only / "part-cut.parquet").write_bytes(next(Path(history).glob("day=2024-01-05/*/*.parquet")).read_bytes()[:-20])
+    assert read_history(spark, history, "2023-07-01", skip_unreadable=True).count() == 0
+
+
+def test_only_the_files_of_a_day_are_listed(spark, history):
+    one = Path(history).glob("day=2024-01-05/*/*.parquet")
+    listed = read_history(spark, history, "2024-01-05").inputFiles()
+    assert sorted(f.rsplit("/", 1)[1] for f in listed) == sorted(p.name for p in one)
+    month_days = read_history(spark, history, day_of_month=5).inputFiles()
+    assert len(month_days) == len(list(Path(history).glob("day=*-05/*/*.parquet")))
+    assert read_history(spark, history, "1999-01-01").count() == 0
+    assert read_history(spark, history, "2024-01-05").schema == HISTORY_SCHEMA
+
+
+def test_missing_day_of_month_layout_reads_as_empty(spark, tmp_path):
+    assert read_day_of_month_history(spark, f"{tmp_path}/nowhere").count() == 0
 
 
 def test_day_of_month_layout_is_read_by_full_date(spark, tmp_path, history, rows_of):

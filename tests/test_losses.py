@@ -1,0 +1,157 @@
+"""Nothing is lost without a word: late files, damaged files, failed queries."""
+
+import json
+import os
+import time
+from datetime import UTC, datetime
+from pathlib import Path
+
+import pytest
+
+from dockmetrics.__main__ import main
+from dockmetrics.model import (
+    BIKE_STATUS,
+    FREE_BIKE_STATUS,
+    RECORD_SCHEMAS,
+    STATION_DIMENSION,
+    STATION_INFORMATION,
+    STATION_STATUS,
+)
+from dockmetrics.plans import run_daily_job, run_ingest_job, snapshot, wait
+from dockmetrics.sources import (
+    SourceConf,
+    kafka_sink_options,
+    read_landed,
+    read_table,
+    upsert,
+    write_history,
+)
+
+DAY = 86_400
+COMPUTED = datetime(2024, 1, 2, tzinfo=UTC)
+
+
+def _land(folder, name, text, age_days=0):
+    folder = Path(folder)
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
+    then = time.time() - age_days * DAY
+    os.utime(folder / name, (then, then))
+
+
+def _values(spark, source, tmp_path):
+    stream = read_landed(spark, source, "t").select("value")
+    writer = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+    writer = writer.option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True)
+    writer.start().awaitTermination()
+    return sorted(r.value for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+
+def test_files_older_than_a_week_are_read_after_newer_ones(spark, tmp_path):
+    source = SourceConf("files", f"{tmp_path}/topics")
+    _land(f"{tmp_path}/topics/t", "new.txt", "new\n")
+    assert _values(spark, source, tmp_path) == ["new"]
+    _land(f"{tmp_path}/topics/t", "old.txt", "old\n", age_days=8)
+    _land(f"{tmp_path}/topics/t", "older.txt", "older\n", age_days=4000)
+    assert _values(spark, source, tmp_path) == ["new", "old", "older"]
+
+
+def _documents(tmp_path, age_days=0):
+    status = {"station_id": "a", "num_bikes_available": 1, "num_docks_available": 1}
+    for topic in RECORD_SCHEMAS:
+        array = "bikes" if topic == FREE_BIKE_STATUS else "stations"
+        document = json.dumps({"data": {array: [status]}})
+        _land(f"{tmp_path}/documents/{topic}", f"{age_days}.json", document, age_days)
+    return SourceConf("documents", f"{tmp_path}/documents")
+
+
+def test_ingest_reads_old_documents_landed_late(spark, tmp_path):
+    topics = SourceConf("files", f"{tmp_path}/topics")
+    for age in (0, 9):
+        documents = _documents(tmp_path, age)
+        wait(run_ingest_job(spark, documents, topics, f"{tmp_path}/ck", available_now=True))
+    assert spark.read.text(f"{tmp_path}/topics/{STATION_STATUS}").count() == 2
+
+
+def test_a_failed_ingest_query_ends_the_job(spark, tmp_path):
+    documents = _documents(tmp_path)
+    # A file stands where one feed's topic folder would have to be.
+    _land(f"{tmp_path}/topics", FREE_BIKE_STATUS, "in the way")
+    topics = SourceConf("files", f"{tmp_path}/topics")
+    with pytest.raises(Exception, match="(?i)free_bike_status|not a directory|parent path"):
+        queries = run_ingest_job(spark, documents, topics, f"{tmp_path}/ck")
+        wait(queries, bounded=False, check_seconds=0.5)
+    assert not [q for q in spark.streams.active if "ingest" in (q.name or "") or q.name is None]
+
+
+def test_an_unbounded_run_ends_with_its_first_query(spark, tmp_path):
+    topics = SourceConf("files", f"{tmp_path}/topics")
+    queries = run_ingest_job(spark, _documents(tmp_path), topics, f"{tmp_path}/ck")
+    queries[STATION_INFORMATION].stop()
+    wait(queries, bounded=False, check_seconds=0.5)
+    assert not any(q.isActive for q in queries.values())
+
+
+def test_writer_passes_the_clients_options_on():
+    options = {"kafka.security.protocol": "SASL_SSL", "maxOffsetsPerTrigger": "5"}
+    conf = SourceConf("kafka", "b:9092", options=options)
+    assert kafka_sink_options(conf, "t") == {
+        "kafka.bootstrap.servers": "b:9092",
+        "topic": "t",
+        "kafka.security.protocol": "SASL_SSL",
+    }
+
+
+def test_ingest_refuses_documents_as_topics(tmp_path):
+    with pytest.raises(SystemExit):
+        main(["ingest", "--documents", "d", "--source", "documents", "--location", "l", "--checkpoints", "c"])
+
+
+def _history(spark, tmp_path):
+    rows = [("s", i % 3, 2, 1_704_067_200 + 60 * i) for i in range(90)]
+    schema = RECORD_SCHEMAS[STATION_STATUS]
+    for part in range(3):
+        write_history(spark.createDataFrame(rows[part::3], schema), f"{tmp_path}/history")
+    return sorted(Path(f"{tmp_path}/history").glob("day=*/hour=*/*.parquet"))
+
+
+def test_daily_job_fails_on_a_cut_file_or_counts_it(spark, tmp_path):
+    files = _history(spark, tmp_path)
+    files[0].write_bytes(files[0].read_bytes()[: files[0].stat().st_size // 2])
+    where = {"root": f"{tmp_path}/tables", "history_path": f"{tmp_path}/history"}
+    with pytest.raises(Exception, match=files[0].name):
+        run_daily_job(spark, "2024-01-01", computed_at=COMPUTED, **where)
+    run = run_daily_job(spark, "2024-01-01", computed_at=COMPUTED, skip_unreadable=True, **where)
+    assert 0 < run.row_count < 90
+    assert [f.rsplit("/", 1)[1] for f in run.skipped_files] == [files[0].name]
+
+
+def test_snapshot_leaves_a_damaged_table_out(spark, tmp_path, caplog, capsys):
+    root = str(tmp_path)
+    stations = spark.createDataFrame([("a", "A", 1)], STATION_DIMENSION.schema)
+    upsert(stations, root, STATION_DIMENSION)
+    counts = spark.sql("select date'2024-01-01' day, timestamp_seconds(0) timestamp, 1L n")
+    upsert(counts.withColumnRenamed("n", "abandoned_bikes_count"), root, BIKE_STATUS)
+    for file in Path(root).glob("bike_status/run=*/batch_id=*/*.parquet"):
+        file.write_bytes(b"damaged")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    shown = snapshot(spark, root)
+    assert "bike_status" not in shown and len(shown) == 5
+    assert shown["station_information"].count() == 1
+    assert "bike_status" in caplog.text
+    assert main(["snapshot", "--root", root]) == 0
+    assert "Station Information" in capsys.readouterr().out
+
+
+def test_rollup_writes_are_not_folded_again(spark, tmp_path, monkeypatch):
+    from dockmetrics.sources import tables
+
+    folded = []
+    original = tables.latest_by_key
+    monkeypatch.setattr(tables, "latest_by_key", lambda *a: folded.append(a) or original(*a))
+    rows = spark.createDataFrame([("a", "A", 1)], STATION_DIMENSION.schema)
+    tables.write_batch(rows, str(tmp_path), STATION_DIMENSION, 1, 0, unique=True)
+    assert not folded
+    tables.write_batch(rows, str(tmp_path), STATION_DIMENSION, 1, 1)
+    assert len(folded) == 1
+    assert read_table(spark, str(tmp_path), STATION_DIMENSION).count() == 1

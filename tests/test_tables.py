@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from dockmetrics.model import (
     BIKE_SITUATION,
+    BIKE_STATUS,
     RESULT_TABLES,
     STATION_DIMENSION,
     STATION_STATUS_WINDOWED,
 )
+from dockmetrics.plans import snapshot
 from dockmetrics.session import shared_folder
 from dockmetrics.sources import compact, ensure_tables, read_table, upsert
-from dockmetrics.sources.tables import bases, next_run, write_batch, writes
+from dockmetrics.sources.tables import bases, next_run, partition_values, write_batch, writes
 
 DDL = "station_id string, station_name string, capacity int"
 
@@ -109,7 +111,9 @@ def test_replace_table_shows_the_newest_write_only(spark, tmp_path):
     assert shown() == []
     put(3, "4")
     compact(spark, root, BIKE_SITUATION)
-    assert shown() == ["4"] and len(writes(spark, root, BIKE_SITUATION)) == 2
+    assert shown() == ["4"] and len(writes(spark, root, BIKE_SITUATION)) == 4
+    compact(spark, root, BIKE_SITUATION, retain_seconds=0)
+    assert shown() == ["4"] and len(writes(spark, root, BIKE_SITUATION)) == 1
 
 
 def test_compact_keeps_content_and_later_writes_on_top(spark, tmp_path):
@@ -130,7 +134,9 @@ def test_compact_keeps_content_and_later_writes_on_top(spark, tmp_path):
     put(1, ("a", "A1", 1))
     assert names(spark, root) == {"a": "A1", "b": "B", "c": "C"}
     compact(spark, root, STATION_DIMENSION)
-    assert [w.batch_id for w in writes(spark, root, STATION_DIMENSION)] == [2]
+    assert [w.batch_id for w in writes(spark, root, STATION_DIMENSION)] == [0, 1, 2]
+    compact(spark, root, STATION_DIMENSION, retain_seconds=0)
+    assert writes(spark, root, STATION_DIMENSION) == []
     put(3, ("b", "B3", 1))
     compact(spark, root, STATION_DIMENSION)
     assert names(spark, root) == {"a": "A1", "b": "B3", "c": "C"}
@@ -138,6 +144,17 @@ def test_compact_keeps_content_and_later_writes_on_top(spark, tmp_path):
     assert next_run(spark, root, STATION_DIMENSION) == 2
 
 
+def test_a_reader_survives_foldings(spark, tmp_path):
+    root = str(tmp_path)
+    put = lambda batch: write_batch(stations(spark, ("a", f"A{batch}", 1)), root, STATION_DIMENSION, 1, batch)
+    put(0)
+    held = read_table(spark, root, STATION_DIMENSION)
+    for batch in range(1, 4):
+        put(batch)
+        compact(spark, root, STATION_DIMENSION)
+    assert [r.station_name for r in held.collect()] == ["A0"]
+
+
 def test_key_filters_reach_the_scan(spark, tmp_path):
     rows = spark.sql(
         "select date'2024-01-01' as day, timestamp_seconds(id) as timestamp, id as empty_count,"
@@ -181,3 +198,59 @@ def test_shared_folder_is_below_the_session_setting(spark):
 @pytest.mark.parametrize("spec", RESULT_TABLES.values(), ids=lambda s: s.name)
 def test_specs_have_a_mode(spec):
     assert spec.mode in ("merge", "replace")
+
+
+
+
+
+def counts(spark, *rows):
+    frame = spark.createDataFrame([(d, s, n) for d, s, n in rows], "day string, s long, n long")
+    return frame.selectExpr(
+        "cast(day as date) day", "timestamp_seconds(s) timestamp", "n as abandoned_bikes_count"
+    )
+
+
+def test_a_fold_leaves_the_files_of_untouched_days_alone(spark, tmp_path, rows_of):
+    root = str(tmp_path)
+
+    def put(batch, *rows):
+        write_batch(counts(spark, *rows), root, BIKE_STATUS, 1, batch)
+
+    def shown(values=None):
+        table = read_table(spark, root, BIKE_STATUS, values)
+        return rows_of(table.selectExpr("cast(day as string)", "unix_seconds(timestamp)", "abandoned_bikes_count"))
+
+    def files(day):
+        return {p: p.stat().st_mtime_ns for p in Path(root).glob(f"bike_status/base/*/*/day={day}/*.parquet")}
+
+    put(0, ("2024-01-01", 1, 1), ("2024-01-02", 2, 2))
+    compact(spark, root, BIKE_STATUS)
+    before = files("2024-01-01")
+    put(1, ("2024-01-02", 2, 20), ("2024-01-03", 3, 3))
+    expected = [("2024-01-01", 1, 1), ("2024-01-02", 2, 20), ("2024-01-03", 3, 3)]
+    assert shown() == expected
+    compact(spark, root, BIKE_STATUS)
+    assert files("2024-01-01") == before and len(before) == 1
+    assert shown() == expected and shown(["2024-01-02"]) == expected[1:2] and shown([]) == []
+    assert partition_values(spark, root, BIKE_STATUS) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    put(2, ("2024-01-03", 4, 4))
+    compact(spark, root, BIKE_STATUS, retain_seconds=0)
+    assert shown() == [*expected, ("2024-01-03", 4, 4)]
+    assert writes(spark, root, BIKE_STATUS) == []
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        assert len(files(day)) == 1
+    put(3)
+    compact(spark, root, BIKE_STATUS, retain_seconds=0)
+    assert shown() == [*expected, ("2024-01-03", 4, 4)]
+    assert next_run(spark, root, BIKE_STATUS) == 2
+
+
+def test_snapshot_reads_the_newest_days_only(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(f"2024-01-{d:02d}", 86_400 * d + s, d) for d in range(1, 9) for s in range(20)]
+    upsert(counts(spark, *rows), root, BIKE_STATUS)
+    for old in Path(root).glob("bike_status/run=*/batch_id=*/day=2024-01-0[1-6]/*.parquet"):
+        old.write_bytes(b"never read")
+    head = snapshot(spark, root, ["bike_status"])["bike_status"].collect()
+    assert [r.abandoned_bikes_count for r in head] == [8] * 20 + [7] * 10
+    assert [r.timestamp for r in head] == sorted((r.timestamp for r in head), reverse=True)
