@@ -132,7 +132,7 @@ def test_snapshot_leaves_a_damaged_table_out(spark, tmp_path, caplog, capsys):
     upsert(stations, root, STATION_DIMENSION)
     counts = spark.sql("select date'2024-01-01' day, timestamp_seconds(0) timestamp, 1L n")
     upsert(counts.withColumnRenamed("n", "abandoned_bikes_count"), root, BIKE_STATUS)
-    for file in Path(root).glob("bike_status/run=*/batch_id=*/*.parquet"):
+    for file in Path(root).glob("bike_status/run=*/batch_id=*/*/*.parquet"):
         file.write_bytes(b"damaged")
         (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
     shown = snapshot(spark, root)
