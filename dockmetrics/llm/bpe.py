@@ -27,10 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import whole_text
+from dockmetrics.llm.common import release_memory, whole_text
 
 #: Texts are taken in slices of about so many characters, so that memory is bounded.
-SLICE_CHARS = 12_000_000
+SLICE_CHARS = 6_000_000
 #: Fixed value of the format: how byte-level BPE cuts text into words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: The same rule for texts without characters beyond U+00FF, where it runs faster.
@@ -43,7 +43,7 @@ LATIN_WORDS = re.compile(
 )
 
 
-class _Numbers(dict):
+class Numbers(dict):
     """Numbers words in the order of their first use."""
 
     def __missing__(self, word: str) -> int:
@@ -159,7 +159,7 @@ class PairIndexBPE:
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text. Special tokens stand between the words."""
-        numbers = _Numbers()
+        numbers = Numbers()
         taken: list[np.ndarray] = []
         for text in texts:
             parts = self.cut.split(text) if self.cut and self.cut.search(text) else [text]
@@ -235,6 +235,7 @@ def bpe_columns(text_col: str, path: str, keep_ids: bool = False):
                 decoded = bpe.decode(ids).encode("utf-8", "surrogatepass")
                 row = (len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(decoded).hexdigest())
                 rows.append((*row, raw) if keep_ids else row)
+            release_memory()
         names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 3 + keep_ids]
         return pd.DataFrame(rows, columns=names)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,15 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the system after a batch. Python workers serve task after
+    task, and what one of them keeps adds to the executor's memory for good."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def whole_text(column: str | Column) -> Column:
     """The text, a null one as an empty one."""
     column = F.col(column) if isinstance(column, str) else column

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import row_hash, whole_text
+from dockmetrics.llm.common import release_memory, row_hash, whole_text
 
 UNKNOWN = "und"
 DIMS = 4096
@@ -169,6 +169,7 @@ def language_column(model: LanguageModel, text_col: str = "text") -> Column:
             scores[some] = score
             for i, lang in zip(some, found):
                 langs[i] = lang
+        release_memory()
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
     return predicted(F.col(text_col).cast("string"))

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import materialize, shuffle_width, whole_text
+from dockmetrics.llm.common import materialize, release_memory, shuffle_width, whole_text
 from dockmetrics.llm.components import connected_components
 
 BITS = 64
@@ -75,6 +75,7 @@ def fingerprint_column(text_col: str = "text", shingle: int = 3):
     @F.pandas_udf("long")
     def fingerprints(texts: pd.Series) -> pd.Series:
         found = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
+        release_memory()
         return pd.Series(found.view(np.int64))
 
     return fingerprints(whole_text(text_col))
@@ -270,6 +271,7 @@ def _probed_links(points: DataFrame, parts: list[list[int]], thresholds: list[in
                     for x, y in zip(*(side.tolist() for side in np.nonzero(near & (some != held)))):
                         forest.join(int(some[x, 0]), int(held[y]))
         yield from forest.links()
+        release_memory()
 
     return materialize(dealt.mapInArrow(compare, "a long, b long"), "simhash-links")
 
@@ -350,7 +352,9 @@ def near_duplicates(
 
     @F.pandas_udf("binary")
     def shingles(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: shingle_set(t, similarity_shingle).tobytes())
+        sets = texts.map(lambda t: shingle_set(t, similarity_shingle).tobytes())
+        release_memory()
+        return sets
 
     held = again.join(members.join(sizes, "part"), "node").select("part", "blocks", "node", shingles("text").alias("set"))
     held = materialize(held, "near-shingles")
@@ -375,6 +379,7 @@ def near_duplicates(
                 sets.append(np.frombuffer(batch.column("set")[i].as_py(), np.uint64))
         _link_similar(forest, nodes, sets, similarity)
         yield from forest.links()
+        release_memory()
 
     links = materialize(dealt.mapInArrow(compare, "a long, b long"), "near-verified")
     groups = connected_components(links).withColumnRenamed("node", "linked")
