@@ -3,7 +3,8 @@
 Documents are range-partitioned and sorted by id; each range becomes one shard, in
 ascending order:
 
-* ``<shard>.ids``: the documents' ids one after another, little-endian unsigned 32-bit.
+* ``<shard>.ids``: the documents' ids one after another, little-endian unsigned integers of
+  16 bits if the vocabulary fits, else of 32 (the index tells).
 * ``<shard>.idx``: a minimal perfect hash of the shard's document keys, then per slot a
   32-bit fingerprint and the key's first row and number of rows, then per row
   its offset in the payload.
@@ -21,18 +22,23 @@ own, sorted first. A null text is an empty one and holds only the end id. The ma
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import materialize, shuffle_width, whole_text
+from tokenizers import Tokenizer
+
+from dockmetrics.llm.bpe import Numbers, byte_symbols
+from dockmetrics.llm.common import materialize, release_memory, shuffle_width, whole_text
 from dockmetrics.llm.files import attempt_name, open_store, write_file
 
 END_ID = 1
@@ -107,8 +113,9 @@ def _fingerprints(keys: np.ndarray) -> np.ndarray:
     return (_mix(keys, 1000) >> np.uint64(32)).astype(np.uint32)
 
 
-def index_bytes(keys: np.ndarray, offsets: np.ndarray) -> bytes:
-    """``keys``: sorted, one per row; ``offsets``: row starts in the payload, in ids, and the end."""
+def index_bytes(keys: np.ndarray, offsets: np.ndarray, width: int) -> bytes:
+    """``keys``: sorted, one per row; ``offsets``: row starts in the payload, in ids, and the
+    end; ``width``: bytes of an id."""
     distinct, first, rows = np.unique(keys, return_index=True, return_counts=True)
     mph = PerfectHash.build(distinct.view(np.uint64))
     slots = mph.slots(distinct.view(np.uint64))
@@ -116,7 +123,7 @@ def index_bytes(keys: np.ndarray, offsets: np.ndarray) -> bytes:
     table["print"][slots] = _fingerprints(distinct.view(np.uint64))
     table["rows"][slots], table["first"][slots] = rows, first
     return b"".join(
-        (MAGIC, struct.pack("<QQ", len(distinct), len(keys)), mph.to_bytes(), table.tobytes(), offsets.astype("<u8").tobytes())
+        (MAGIC, struct.pack("<QQQ", len(distinct), len(keys), width), mph.to_bytes(), table.tobytes(), offsets.astype("<u8").tobytes())
     )
 
 
@@ -130,8 +137,8 @@ class Shard:
             raw = file.read()
         if raw[:8] != MAGIC:
             raise ValueError(f"{name} is no token index")
-        slots, rows = struct.unpack_from("<QQ", raw, 8)
-        self.mph, at = PerfectHash.read(raw, 24)
+        slots, rows, self.width = struct.unpack_from("<QQQ", raw, 8)
+        self.mph, at = PerfectHash.read(raw, 32)
         self.table = np.frombuffer(raw, [("print", "<u4"), ("rows", "<u4"), ("first", "<u8")], slots, at)
         self.offsets = np.frombuffer(raw, "<u8", rows + 1, at + self.table.nbytes).astype(np.int64)
         self.payload = self.store.open_input_file(f"{self.path}.ids")
@@ -144,13 +151,16 @@ class Shard:
         return found["first"].astype(np.int64), np.where(known, found["rows"], 0).astype(np.int64)
 
     def ids(self, row: int) -> bytes:
+        """The ids of a row as little-endian unsigned 32-bit integers."""
         start, end = int(self.offsets[row]), int(self.offsets[row + 1])
-        return self.payload.read_at(4 * (end - start), 4 * start)
+        raw = self.payload.read_at(self.width * (end - start), self.width * start)
+        return np.frombuffer(raw, f"<u{self.width}").astype("<u4").tobytes()
 
 
 # --- encoding --------------------------------------------------------------------
 
-_PLAIN_WORD = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@[-`{-~]*)")
+#: One word per line: Latin letters and ASCII punctuation behind them, or anything else.
+_WORD_LINES = re.compile("^(?:([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@[-`{-~]*)|.+)$", re.MULTILINE)
 #: Controls that str.split() takes for white space and Unicode doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
 _ODD_WORDS = re.compile("[^ \t\n\r\x0b\x0c]+")
@@ -163,13 +173,10 @@ class WordEncoder:
     The vocabulary drops white space and never joins across it, so a text's ids are those
     of its words. Plain words (Latin letters, then ASCII punctuation) are lower-cased and
     given to the library's model together; all others go through its whole pipeline.
+    Up to ``CACHE_WORDS`` words and those of one more slice are kept.
     """
 
     def __init__(self, path: str):
-        import json
-
-        from tokenizers import Tokenizer
-
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
@@ -182,44 +189,62 @@ class WordEncoder:
             raise ValueError("not a lower-casing vocabulary with word ends")
         words = spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
         self.words = Tokenizer.from_str(json.dumps(words))
-        self.ends = np.zeros(max(model["vocab"].values()) + 1, bool)
+        top = max([*model["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+        self.type = np.dtype("<u2" if top < 1 << 16 else "<u4")
+        self.ends = np.zeros(top + 1, bool)
         self.ends[[i for token, i in model["vocab"].items() if token.endswith("</w>")]] = True
-        from dockmetrics.llm.bpe import byte_symbols
-
         self.alphabet = {byte: symbol for symbol, byte in byte_symbols().items()}
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        words = [_ODD_WORDS.findall(text) if _ODD.search(text) else text.split() for text in texts]
-        self._learn({word for some in words for word in some if word not in self.known})
-        return [b"".join(map(self.known.__getitem__, some)) for some in words]
-
-    def _learn(self, words: set[str]) -> None:
-        split = {word: match.groups() for word in words if (match := _PLAIN_WORD.fullmatch(word))}
-        stems = {word: stem.lower() for word, (stem, _) in split.items()}
-        fresh = [stem for stem in set(stems.values()) if stem not in self.known or stem in words]
-        ids = self._plain(fresh)
-        rest = list((words - split.keys()) | {tail for _, tail in split.values() if tail and tail not in self.known})
-        encoded = self.whole.encode_batch_fast(rest, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, encoded))
-        self.known.update(zip(fresh, ids))
-        for word, (_, tail) in split.items():
-            stem = self.known[stems[word]]
-            self.known[word] = stem + self.known[tail] if tail else stem
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.pieces = Numbers(), {"": b""}
+        self.flat, self.bounds = np.zeros(0, self.type), np.zeros(1, np.int64)
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        if len(self.numbers) > CACHE_WORDS:
+            self._forget()
+        known, taken = len(self.numbers), []
+        for text in texts:
+            words = _ODD_WORDS.findall(text) if _ODD.search(text) else text.split()
+            taken.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+        self._learn(list(islice(self.numbers, known, None)))
+        lengths = np.diff(self.bounds)
+        for words in taken:
+            sizes = lengths[words]
+            first = self.bounds[words] - (np.cumsum(sizes) - sizes)
+            yield self.flat[np.repeat(first, sizes) + np.arange(int(sizes.sum()))]
+
+    def _learn(self, words: list[str]) -> None:
+        if not words:
+            return
+        split = _WORD_LINES.findall("\n".join(words))
+        stems = "\n".join(stem for stem, _ in split).lower().split("\n")
+        pieces = self.pieces
+        fresh = list(dict.fromkeys(stem for stem in stems if stem not in pieces))
+        pieces.update(zip(fresh, self._plain(fresh)))
+        rest = [word for word, stem in zip(words, stems) if not stem]
+        tails = list({tail for _, tail in split if tail not in pieces})
+        encoded = self.whole.encode_batch_fast(rest + tails, add_special_tokens=False)
+        raw = [np.array(e.ids, self.type).tobytes() for e in encoded]
+        pieces.update(zip(tails, raw[len(rest) :]))
+        others = iter(raw)
+        learned = [pieces[stem] + pieces[tail] if stem else next(others) for stem, (_, tail) in zip(stems, split)]
+        sizes = np.fromiter(map(len, learned), np.int64, len(learned)) // self.type.itemsize
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(learned), self.type)))
 
     def _plain(self, stems: list[str]) -> list[bytes]:
+        """The ids of plain lower-case words, which the library's model gets in one text."""
         if not stems:
             return []
-        text = " ".join(stem.encode().decode("latin-1").translate(self.alphabet) for stem in stems)
-        ids = np.array(self.words.encode(text, add_special_tokens=False).ids, np.int64)
-        bounds = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
-        raw = ids.astype("<u4").tobytes()
+        lined = (s if s.isascii() else s.encode().decode("latin-1").translate(self.alphabet) for s in stems)
+        ids = np.array(self.words.encode(" ".join(lined), add_special_tokens=False).ids, self.type)
+        bounds = [0, *((np.flatnonzero(self.ends[ids]) + 1) * self.type.itemsize).tolist()]
         if len(bounds) != len(stems) + 1:
             raise ValueError("a word has no or several ends")
-        return [raw[4 * a : 4 * b] for a, b in zip(bounds, bounds[1:])]
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -252,13 +277,15 @@ def write_token_store(
         sizes: list[int] = []
 
         def payload() -> Iterator[bytes]:
-            encoder, end = _encoder(vocabulary), np.array([END_ID], "<u4").tobytes()
+            encoder = _encoder(vocabulary)
+            end = np.array([END_ID], encoder.type).tobytes()
             for batch in batches:
                 keys.append(batch.column("key").to_numpy())
                 for texts in _slices(batch.column("text"), slice_chars):
                     for ids in encoder.encode(texts):
-                        sizes.append(len(ids) // 4 + 1)
-                        yield ids + end
+                        sizes.append(len(ids) + 1)
+                        yield ids.tobytes() + end
+                release_memory()
 
         name = attempt_name("shard", "")
         write_file(folder, f"{name}.ids", payload())
@@ -266,7 +293,7 @@ def write_token_store(
         if not len(whole):
             return
         offsets = np.concatenate(([0], np.cumsum(sizes)))
-        write_file(folder, f"{name}.idx", [index_bytes(whole, offsets)])
+        write_file(folder, f"{name}.idx", [index_bytes(whole, offsets, _encoder(vocabulary).type.itemsize)])
         row = {"shard": name, "part": int(name.split("-")[1]), "first_key": int(whole[0]), "last_key": int(whole[-1])}
         row |= {"rows": len(whole), "tokens": int(offsets[-1])}
         yield pa.RecordBatch.from_pylist([row], _MANIFEST_ARROW)
