@@ -3,9 +3,13 @@
 Documents with equal texts are linked (through their text, so a group of n has n links).
 All documents start spread evenly over the shards. In each round every group looks at
 where its members are and those elsewhere ask to move to the shard that holds most of
-them; shards that are full of linked documents take none. Quotas decide how many of each
-(from, to) ask in vain: requests in opposite directions swap, the rest shares what space
-the target has. Rounds end when nobody moves. Documents without links fill the shards up.
+them: of the shards with space left by linked documents in even rounds, of all in odd ones.
+A hash that changes by round breaks ties, so that requests between two shards balance.
+Quotas decide how many of each (from, to) ask in vain: requests in opposite directions
+swap, the rest shares what space the target has. Rounds end when nobody moves in two in a
+row. No move leads to a shard with fewer of the group, so that they do end. Groups that are
+still cut then are dealt out over the places they hold and the space left, one after the
+other, if that cuts fewer documents off. Documents without links fill the shards up.
 
 The law is ``rows``: counts of any two shards differ by one at most. A group larger than a
 shard fills one and then gathers in others. The quota table has shards squared numbers and
@@ -18,6 +22,8 @@ A null text is an empty one; a null id is an id like others. Repeated rows each
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +31,10 @@ from dockmetrics.llm.common import materialize, shuffle_width, whole_text
 
 SHARDS = 24
 OVERHEAD = 8
-ROUNDS = 20
+#: A safety limit, logged when it is met.
+ROUNDS = 200
+
+_log = logging.getLogger(__name__)
 
 
 def shard_documents(
@@ -48,7 +57,9 @@ def shard_documents(
 
     groups = base.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     linked = base.join(groups, "key", "left_semi").select("rid", "key", F.pmod("rid", F.lit(shards)).cast("int").alias("shard"))
-    linked, held = propagate(materialize(linked, "sharding-linked"), capacity, chunks, rounds)
+    linked = propagate(materialize(linked, "sharding-linked"), capacity, chunks, rounds)
+    linked = deal(linked, capacity, chunks)
+    held = _held(linked, shards)
 
     free = base.join(linked.select("rid"), "rid", "left_anti").select("rid")
     spaces = [0]
@@ -66,29 +77,31 @@ def shard_documents(
     )
 
 
-def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int) -> tuple[DataFrame, list[int]]:
-    """Moves linked rows (rid, key, shard); returns them and how many each shard holds."""
-    shards = len(capacity)
-    for _ in range(rounds):
-        held = [0] * shards
-        for r in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per shard
-            held[r["shard"]] = r["n"]
-        space = [c - h for c, h in zip(capacity, held)]
-        open_ = F.array(*[F.lit(s > 0) for s in space])
+def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int) -> DataFrame:
+    """Moves linked rows (rid, key, shard)."""
+    shards, idle = len(capacity), 0
+    for number in range(rounds):
+        space = [c - h for c, h in zip(capacity, _held(linked, shards))]
         # members of each group by shard: at most as many rows per group as there are shards
         members = linked.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
-        target = members.filter(open_[F.col("shard")]).groupBy("key").agg(
-            F.max(F.struct("n", (-F.col("shard")).alias("low"))).alias("best")
-        ).select("key", (-F.col("best.low")).alias("to"), F.col("best.n").alias("there"))
-        moves = members.join(target, "key").filter(
-            (F.col("to") != F.col("shard")) & ((F.col("there") > F.col("n")) | ((F.col("there") == F.col("n")) & (F.col("to") < F.col("shard"))))
+        offered = members
+        if number % 2 == 0 and any(space):
+            offered = members.filter(F.array(*[F.lit(s > 0) for s in space])[F.col("shard")])
+        tie = F.xxhash64("key", "shard", F.lit(number))
+        target = offered.groupBy("key").agg(F.max(F.struct("n", tie.alias("tie"), "shard")).alias("best")).select(
+            "key", F.col("best.shard").alias("to"), F.col("best.n").alias("there")
         )
+        moves = members.join(target, "key").filter((F.col("to") != F.col("shard")) & (F.col("there") >= F.col("n")))
         asked = linked.join(moves.select("key", "shard", "to"), ["key", "shard"])
         asked = materialize(asked.select("rid", "key", "shard", "to"), "sharding-asked")
         wanted = {(r[0], r[1]): r[2] for r in asked.groupBy("shard", "to").agg(F.count(F.lit(1))).collect()}
         quota = allowed_moves(wanted, space)
         if not any(quota.values()):
-            return linked, held
+            idle += 1
+            if idle == 2:
+                return linked
+            continue
+        idle = 0
         # a group's members are neighbours in the order, a large group is spread over chunks
         near = F.pmod(F.xxhash64("key"), F.lit(chunks)) * 8 + F.pmod("rid", F.lit(8))
         ranked = ranked_rows(asked, ["shard", "to"], near, ["key", "rid"])
@@ -97,10 +110,57 @@ def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int)
         going = ranked.filter(F.col("rank") < limit).select("rid", "to")
         moved = linked.join(going, "rid", "left").select("rid", "key", F.coalesce("to", "shard").alias("shard"))
         linked = materialize(moved, "sharding-linked")
+    _log.warning("label propagation stopped at its limit of %d rounds with rows still moving", rounds)
+    return linked
+
+
+def deal(linked: DataFrame, capacity: list[int], chunks: int) -> DataFrame:
+    """Deals the groups that are cut over the places they hold and the space left, so that
+    only those at a shard's end stay cut; as they were if that cuts as many rows off."""
+    shards = len(capacity)
+    cut = materialize(_cut_groups(linked), "sharding-cut")
+    before = _rows_off(cut)
+    if not before:
+        return linked
+    pool = materialize(linked.join(cut.select("key"), "key", "left_semi"), "sharding-pool")
+    rest = linked.join(cut.select("key"), "key", "left_anti")
+    ends, kept = [], _held(rest, shards)
+    for c, h in zip(capacity, kept):
+        ends.append((ends[-1] if ends else 0) + c - h)
+    groups = cut.select("key", "n", F.pmod(F.xxhash64("key"), F.lit(chunks)).alias("chunk_"))
+    totals = groups.groupBy("chunk_").agg(F.sum("n").alias("n_"))
+    earlier = Window.orderBy("chunk_").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("chunk_", F.coalesce(F.sum("n_").over(earlier), F.lit(0)).alias("offset_"))
+    within = Window.partitionBy("chunk_").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    starts = groups.withColumn("before_", F.coalesce(F.sum("n").over(within), F.lit(0))).join(offsets, "chunk_").select(
+        "key", (F.col("offset_") + F.col("before_")).alias("start")
+    )
+    ranked = ranked_rows(pool, ["key"], F.pmod("rid", F.lit(chunks)), ["rid"]).join(starts, "key")
+    upper = F.array(*[F.lit(e).cast("long") for e in ends])
+    place = F.size(F.filter(upper, lambda u: u <= F.col("start") + F.col("rank")))
+    dealt = materialize(ranked.select("rid", "key", place.alias("shard")), "sharding-dealt")
+    if _rows_off(_cut_groups(dealt)) >= before:
+        return linked
+    return materialize(rest.unionByName(dealt), "sharding-linked")
+
+
+def _held(linked: DataFrame, shards: int) -> list[int]:
+    """How many linked rows each shard holds."""
     held = [0] * shards
-    for r in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
+    for r in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per shard
         held[r["shard"]] = r["n"]
-    return linked, held
+    return held
+
+
+def _cut_groups(linked: DataFrame) -> DataFrame:
+    """(key, n, most): groups in several shards, their rows and those in the shard with most."""
+    members = linked.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("here"))
+    groups = members.groupBy("key").agg(F.sum("here").alias("n"), F.max("here").alias("most"))
+    return groups.filter("most < n")
+
+
+def _rows_off(cut: DataFrame) -> int:
+    return cut.agg(F.sum(F.col("n") - F.col("most"))).first()[0] or 0
 
 
 def allowed_moves(wanted: dict[tuple[int, int], int], space: list[int]) -> dict[tuple[int, int], int]:

@@ -173,6 +173,25 @@ def test_sharding_is_even_and_keeps_groups_together(docs_of, hot):
     assert cut <= unavoidable + 0.15 * len(rows)
 
 
+@pytest.mark.parametrize(("size", "linked"), [(2, 1.0), (5, 1.0), (2, 0.9)])
+def test_sharding_joins_groups_that_fill_all_shards(docs_of, size, linked):
+    shards, n = 6, 1200
+    rows = [(i, f"group {i // size}" if i < n * linked else f"alone {i}") for i in range(n)]
+    random.Random(size).shuffle(rows)
+    found = shard_documents(docs_of(rows), shards=shards).collect()
+    assert Counter(r["shard"] for r in found) == dict.fromkeys(range(shards), n // shards)
+    texts, homes = dict(rows), defaultdict(set)
+    for r in found:
+        homes[texts[r["doc_id"]]].add(r["shard"])
+    # capacity makes no cut unavoidable; dealing may leave one at each border
+    assert sum(len(s) > 1 for s in homes.values()) <= shards - 1
+
+
+def test_sharding_limit_of_rounds_is_logged(docs_of, caplog):
+    shard_documents(docs_of([(i, f"pair {i // 2}") for i in range(60)]), shards=3, rounds=1)
+    assert "limit of 1 rounds" in caplog.text
+
+
 def test_sharding_of_few_and_no_rows(docs_of, empty_docs):
     assert shard_documents(empty_docs).collect() == []
     found = shard_documents(docs_of([(1, "a"), (2, "a")]), shards=24).collect()
