@@ -24,7 +24,10 @@ For a larger radius the buckets are compared inside tasks, large ones in blocks,
 task returns a spanning forest of what it links, never the pairs.
 
 ``near_duplicates`` asks for shingle similarity as well: texts that the fingerprints
-connect are brought together, compared exactly, and linked if they reach it.
+connect are brought together, compared exactly, and linked if they reach it. Its radius
+holds pairs just above the similarity, and so many others that they would connect all
+texts. A sketch of the very sets that are compared (the lowest bit of 64 minima) tells
+those apart before they connect anything.
 
 Rows of any number with one fingerprint count once. A null id is never named as
 a component's smallest id; a component without ids has a null component_id.
@@ -121,7 +124,8 @@ def simhash_dedup(
 def near_links(points: DataFrame, radius: int = 2, bucket_rows: int = 128) -> DataFrame:
     """Links (a, b) that join all distinct values of ``points`` (fp long) within
     ``radius`` bits: every such pair is linked, directly or through others that are
-    themselves within ``radius`` of each other."""
+    themselves within ``radius`` of each other. With a column ``sketch`` (and a radius over
+    two), points have an ``id`` too: the links are between ids and need near sketches."""
     if radius == 0:
         return points.sparkSession.createDataFrame([], "a long, b long")
     n, ones, both = _bit_counts(points)
@@ -196,7 +200,7 @@ def _keyed(points: DataFrame, parts: list[list[int]], numbers: list[int] | None
             for i, m in zip(numbers or range(len(masks)), masks)
         ]
     )
-    return points.select("fp", F.inline(keys))
+    return points.select(*points.columns, F.inline(keys))
 
 
 def _flips(part: list[int], threshold: int):
@@ -229,47 +233,52 @@ def _probed_links(points: DataFrame, parts: list[list[int]], thresholds: list[in
     """The links of ``near_links`` for any radius, compared inside tasks. A bucket is cut into
     blocks of ``BLOCK_ROWS`` stored points; its probes go to each of them."""
     probed = [i for i, t in enumerate(thresholds) if t >= 0]
+    if "sketch" not in points.columns:
+        points = points.select("fp", F.col("fp").alias("id"), F.lit(0).cast("long").alias("sketch"))
     stored = materialize(_keyed(points, [parts[i] for i in probed], probed), "simhash-stored")
     blocks = stored.groupBy("i", "key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias("blocks"))
     flips = F.lit(None)
     for i in probed:
         flips = F.when(F.col("i") == i, _flips(parts[i], thresholds[i])).otherwise(flips)
-    probes = stored.select("i", "fp", "key", F.explode(flips).alias("flip")).select(
-        "i", "fp", F.col("key").bitwiseXOR(F.col("flip")).alias("key")
+    probes = stored.select("i", "fp", "id", "sketch", "key", F.explode(flips).alias("flip")).select(
+        "i", "fp", "id", "sketch", F.col("key").bitwiseXOR(F.col("flip")).alias("key")
     )
     # Probes of empty buckets end here.
     met = probes.join(blocks, ["i", "key"]).select(
-        "i", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "fp", F.lit(1).alias("kind")
+        "i", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "fp", "id", "sketch", F.lit(1).alias("kind")
     )
     own = stored.join(blocks, ["i", "key"]).select(
-        "i", "key", F.pmod(F.xxhash64("fp"), F.col("blocks")).alias("block"), "fp", F.lit(0).alias("kind")
+        "i", "key", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"), "fp", "id", "sketch", F.lit(0).alias("kind")
     )
     width = shuffle_width(points.sparkSession)
     dealt = own.unionByName(met).repartition(width, "i", "key", "block").sortWithinPartitions("i", "key", "block", "kind")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest, bucket, held = _Forest(), None, np.zeros(0, np.int64)
+        forest, bucket, held = _Forest(), None, np.zeros((3, 0), np.int64)
         for batch in batches:
-            columns = [batch.column(c).to_numpy() for c in ("i", "key", "block", "kind", "fp")]
+            columns = [batch.column(c).to_numpy() for c in ("i", "key", "block", "kind", "fp", "id", "sketch")]
             changes = np.zeros(batch.num_rows, bool)
             for column in columns[:3]:
                 changes[1:] |= column[1:] != column[:-1]
             starts = [0, *np.flatnonzero(changes).tolist(), batch.num_rows]
-            kind, fps = columns[3:]
+            kind, values = columns[3], np.stack(columns[4:])
             for low, high in zip(starts, starts[1:]):
                 name = tuple(int(c[low]) for c in columns[:3])
                 if name != bucket:
-                    bucket, held = name, np.zeros(0, np.int64)
-                stored_here = fps[low:high][kind[low:high] == 0]
-                held = np.concatenate((held, stored_here)) if len(stored_here) else held
-                asking = fps[low:high][kind[low:high] == 1]
-                if len(held) == 1 and len(asking) == 1 and held[0] == asking[0]:
+                    bucket, held = name, np.zeros((3, 0), np.int64)
+                here, of = values[:, low:high], kind[low:high]
+                if (of == 0).any():
+                    held = np.concatenate((held, here[:, of == 0]), axis=1)
+                asking = here[:, of == 1]
+                if held.shape[1] == 1 and asking.shape[1] == 1 and held[1, 0] == asking[1, 0]:
                     continue
-                for at in range(0, len(asking), 128):
-                    some = asking[at : at + 128, None]
-                    near = np.bitwise_count((some ^ held).view(np.uint64)) <= radius
-                    for x, y in zip(*(side.tolist() for side in np.nonzero(near & (some != held)))):
-                        forest.join(int(some[x, 0]), int(held[y]))
+                for at in range(0, asking.shape[1], 128):
+                    fps, ids, sketches = asking[:, at : at + 128]
+                    x, y = np.nonzero(np.bitwise_count((fps[:, None] ^ held[0]).view(np.uint64)) <= radius)
+                    true = np.bitwise_count((sketches[x] ^ held[2, y]).view(np.uint64)) <= SKETCH_RADIUS
+                    true &= ids[x] != held[1, y]
+                    for p, q in zip(ids[x[true]].tolist(), held[1, y[true]].tolist()):
+                        forest.join(p, q)
         yield from forest.links()
         release_memory()
 
@@ -303,8 +312,11 @@ class _Forest:
 # --- similarity -----------------------------------------------------------------
 
 SIMILARITY_SHINGLE, SIMILARITY = 5, 0.8
-#: Of pairs with a five-word similarity of 0.8 or more, 97 to 99 % were within ten bits (README).
-NEAR_RADIUS = 10
+#: What pairs of a five-word similarity of 0.8 differ in, and about three deviations more.
+NEAR_RADIUS = 16
+#: Sketches of such pairs differ in 6.4 of 64 bits; one pair in 100,000 in more than these.
+SKETCH_RADIUS = 18
+_SKETCH_SEEDS = np.random.default_rng(42).integers(1, 2**63, 64, np.uint64) | np.uint64(1)
 GROUP_ROWS = 500
 
 
@@ -317,6 +329,19 @@ def shingle_set(text: str, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64, n))
 
 
+def sketch(hashes: np.ndarray) -> int:
+    """A bit of each of 64 minima of a set under different hashes, as a signed number: the
+    bits of two sets differ with half the odds that the minima do."""
+    if not len(hashes):
+        return 0
+    bits = np.empty(64, np.uint8)
+    for i, seed in enumerate(_SKETCH_SEEDS):
+        mixed = (hashes ^ seed) * seed
+        mixed ^= mixed >> np.uint64(29)
+        bits[i] = (mixed * np.uint64(0xBF58476D1CE4E5B9)).min() >> np.uint64(7) & np.uint64(1)
+    return int(np.packbits(bits).view(np.int64)[0])
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -338,15 +363,25 @@ def near_duplicates(
     rows = rows.withColumn("fp", fingerprint_column("text", shingle))
     # Equal rows share a number: they are linked as equal texts are.
     rows = rows.withColumn("node", F.xxhash64("id", "text")).withColumn("worded", F.col("text").rlike("[^\x20\x09-\x0D]"))
+
+    @F.pandas_udf("long")
+    def sketches(texts: pd.Series) -> pd.Series:
+        found = texts.map(lambda t: sketch(shingle_set(t, similarity_shingle)))
+        release_memory()
+        return found.astype("int64")
+
+    rows = rows.withColumn("sketch", sketches("text")).withColumn("point", F.xxhash64("fp", "sketch"))
     plain = materialize(rows.drop("text"), "near-rows")
     worded = plain.filter("worded")
-    distinct = materialize(worded.groupBy("fp").agg(F.count_distinct("node").alias("n")), "near-distinct")
-    roots = connected_components(near_links(distinct.select("fp"), radius))
-    # Fingerprints that several texts share connect these texts as well.
-    close = distinct.join(roots, F.col("fp") == F.col("node"), "left").filter("root is not null or n > 1").select(
-        "fp", F.coalesce("root", "fp").alias("part")
+    distinct = materialize(
+        worded.groupBy("point", "fp", "sketch").agg(F.count_distinct("node").alias("n")), "near-distinct"
+    )
+    roots = connected_components(near_links(distinct.select("fp", F.col("point").alias("id"), "sketch"), radius))
+    # Points that several texts share connect these texts as well.
+    close = distinct.join(roots, F.col("point") == F.col("node"), "left").filter("root is not null or n > 1").select(
+        "point", F.coalesce("root", "point").alias("part")
     )
-    members = materialize(worded.join(close, "fp").select("node", "part").distinct(), "near-members")
+    members = materialize(worded.join(close, "point").select("node", "part").distinct(), "near-members")
     sizes = members.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("long").alias("blocks"))
     again = docs.select(F.xxhash64(F.col(id_col).cast("long"), text).alias("node"), text.alias("text"))
 

@@ -149,6 +149,24 @@ def test_near_duplicates_have_the_similarity(docs_of):
     assert len({found[i] for i in base}) == len(base)
 
 
+def test_near_duplicates_just_above_the_similarity_by_default(docs_of):
+    """At the production radius, pairs with fingerprints over ten bits apart included."""
+    rows, far = [], 0
+    for i in range(400):
+        words = prose(5000 + i, 300, 5000).split()
+        edited = list(words)
+        for k in range(6):
+            edited[50 * k + i % 40] = f"new{k}"
+        texts = " ".join(words), " ".join(edited)
+        assert 0.8 <= similarity(*texts) < 0.85
+        far += 10 < (near.fingerprint(texts[0]) ^ near.fingerprint(texts[1])).bit_count() <= 16
+        rows += [(i, texts[0]), (1000 + i, texts[1])]
+    found = {r["doc_id"]: r["group"] for r in near.near_duplicates(docs_of(rows)).collect()}
+    assert far > 0
+    assert sum(found[i] != found[1000 + i] for i in range(400)) <= 1
+    assert len(set(found.values())) >= 400
+
+
 def test_near_duplicates_of_edge_rows(edge_docs, empty_docs):
     assert near.near_duplicates(empty_docs).collect() == []
     found = near.near_duplicates(edge_docs, carry=["text"]).collect()
