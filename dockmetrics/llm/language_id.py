@@ -11,6 +11,11 @@ most (languages x per_language) vectors of ``DIMS`` floats reach the driver. Pre
 sees nothing but the text. The score is the family's share of confidence times
 the language's, between 0 and 1.
 
+The score says which learned language is nearest, not whether any is near. For that
+``with_floors`` learns how alike to their language's mean vector labelled texts of each length are
+(by powers of two, from the beginnings of the sampled texts); a text below the floor of
+its length is in none of them. That holds for any number of languages and families.
+
 Rows whose text is null or has no letter get ``und`` with score 0, as do all rows if
 nothing was learned. Languages outside ``FAMILIES`` form a family of their own.
 """
@@ -18,7 +23,7 @@ nothing was learned. Languages outside ``FAMILIES`` form a family of their own.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from itertools import combinations
 
 import numpy as np
@@ -80,6 +85,10 @@ class LanguageModel:
     families: list[list[str]]
     family_weights: np.ndarray  # one column per family
     pairs: dict[tuple[str, str], np.ndarray]
+    #: Unit mean vector of each language.
+    means: dict[str, np.ndarray] = field(default_factory=dict)
+    #: Least likeness by ``length_class``.
+    floors: dict[int, float] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, x: np.ndarray, langs: list[str]) -> LanguageModel:
@@ -96,7 +105,20 @@ class LanguageModel:
                 rows = (labels == a) | (labels == b)
                 pairs[a, b] = fit_svm(x[rows], labels[rows] == a)
         columns = np.array(weights, np.float32).T if weights else np.zeros((x.shape[1] + 1, 0), np.float32)
-        return cls(families, columns, pairs)
+        means = {lang: x[labels == lang].mean(axis=0) for lang in sorted(set(langs))}
+        return cls(families, columns, pairs, {lang: m / max(np.linalg.norm(m), 1e-9) for lang, m in means.items()})
+
+    def likeness(self, x: np.ndarray) -> np.ndarray:
+        """The cosine to the nearest language's mean."""
+        return (x @ np.stack(list(self.means.values())).T).max(axis=1)
+
+    def typical(self, texts: list[str], x: np.ndarray) -> np.ndarray:
+        """Whether texts are as alike to a learned language as labelled ones of their length."""
+        if not self.floors:
+            return np.ones(len(texts), bool)
+        top = max(self.floors)
+        floors = np.array([self.floors.get(min(length_class(t), top), -1.0) for t in texts])
+        return self.likeness(x) >= floors
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         if not self.families:
@@ -126,6 +148,24 @@ def _sigmoid(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
+def length_class(text: str) -> int:
+    return len(text).bit_length()
+
+
+def _sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_language: int) -> DataFrame | None:
+    """(lang, text) of the rows to learn from, None without any label."""
+    labelled = docs.filter(F.col(lang_col).isNotNull() & (F.col(lang_col) != UNKNOWN))
+    counts = {r[0]: r[1] for r in labelled.groupBy(lang_col).agg(F.count(F.lit(1))).collect()}
+    if not counts:
+        return None
+    # Each language's rows with the lowest hashes: the same rows wherever they are read.
+    share = F.lit(0.0)
+    for lang, n in counts.items():
+        share = F.when(F.col(lang_col) == lang, min(1.0, per_language / n)).otherwise(share)
+    place = F.pmod(F.xxhash64(F.col(id_col).cast("string"), row_hash(text_col)), F.lit(1 << 30)) / float(1 << 30)
+    return labelled.filter(place < share).select(F.col(lang_col).alias("lang"), whole_text(text_col).alias("text"))
+
+
 def fit_language_model(
     docs: DataFrame,
     text_col: str = "text",
@@ -134,16 +174,9 @@ def fit_language_model(
     per_language: int = PER_LANGUAGE,
 ) -> LanguageModel:
     """Learns from the rows of ``docs`` with a language and a letter."""
-    labelled = docs.filter(F.col(lang_col).isNotNull() & (F.col(lang_col) != UNKNOWN))
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang_col).agg(F.count(F.lit(1))).collect()}
-    if not counts:
+    sample = _sample(docs, text_col, lang_col, id_col, per_language)
+    if sample is None:
         return LanguageModel([], np.zeros((DIMS + 1, 0), np.float32), {})
-    # Each language's rows with the lowest hashes: the same rows wherever they are read.
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col(lang_col) == lang, min(1.0, per_language / n)).otherwise(share)
-    place = F.pmod(F.xxhash64(F.col(id_col).cast("string"), row_hash(text_col)), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.filter(place < share).select(F.col(lang_col).alias("lang"), whole_text(text_col).alias("text"))
 
     @F.pandas_udf("binary")
     def vector(texts: pd.Series) -> pd.Series:
@@ -156,21 +189,53 @@ def fit_language_model(
     return LanguageModel.fit(np.stack([np.frombuffer(r["x"], np.float32) for r in rows]), [r["lang"] for r in rows])
 
 
+def with_floors(
+    model: LanguageModel,
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    id_col: str = "doc_id",
+    per_language: int = PER_LANGUAGE,
+) -> LanguageModel:
+    """The model with floors from the rows that it learned from. A floor lies as far below the
+    lowest hundredth of its length's labelled texts as that lies below their median."""
+    sample = _sample(docs, text_col, lang_col, id_col, per_language)
+    if sample is None or not model.families:
+        return model
+
+    @F.pandas_udf("array<double>")
+    def likenesses(texts: pd.Series) -> pd.Series:
+        """By class, from one on, that of the shortest beginning; -1 without a letter."""
+        found = []
+        for text in texts:
+            starts = [text[: 1 << k] for k in range(length_class(text))]
+            found.append([float(model.likeness(features(t)[None])[0]) if _LETTER.search(t) else -1.0 for t in starts])
+        return pd.Series(found)
+
+    rows = sample.select(F.posexplode(likenesses("text")).alias("at", "like")).filter("like >= 0")
+    by_class = rows.groupBy("at").agg(F.percentile("like", F.lit(0.5)).alias("half"), F.percentile("like", F.lit(0.01)).alias("low"))
+    return replace(model, floors={r["at"] + 1: 2 * r["low"] - r["half"] for r in by_class.collect()})
+
+
 def language_column(model: LanguageModel, text_col: str = "text") -> Column:
-    """A struct of ``lang_pred`` and ``score`` of a text column."""
+    """A struct of ``lang_pred`` and ``score`` of a text column; if the model has floors, also
+    ``typical`` (not under them)."""
+    names = ["lang_pred", "score", *(["typical"] if model.floors else [])]
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double" + (", typical boolean" if model.floors else ""))
     def predicted(texts: pd.Series) -> pd.DataFrame:
-        langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        langs, scores, typical = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         written = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
         for begin in range(0, len(written), 512):
             some = written[begin : begin + 512]
-            found, score = model.predict(np.stack([features(texts.iat[i]) for i in some]))
+            x = np.stack([features(texts.iat[i]) for i in some])
+            found, score = model.predict(x)
             scores[some] = score
+            typical[some] = model.typical([texts.iat[i] for i in some], x)
             for i, lang in zip(some, found):
                 langs[i] = lang
         release_memory()
-        return pd.DataFrame({"lang_pred": langs, "score": scores})
+        return pd.DataFrame({"lang_pred": langs, "score": scores, "typical": typical})[names]
 
     return predicted(F.col(text_col).cast("string"))
 

@@ -230,6 +230,31 @@ def test_pipeline_stages_on_planted_rows(spark, docs_of):
     assert kept["bpe"] == kept["decontamination"]
 
 
+def test_language_stage_rejects_what_was_never_learned(spark):
+    """Two families of two, as in the given documents: no score can be under a quarter."""
+    words = {
+        "en": "the of and to in is that for it was on are with this have from they which people would there about".split(),
+        "de": "der die und das nicht ist ein eine mit auf werden auch nach wird bei durch zwischen können über haben".split(),
+        "fr": "le la les des est une pour dans qui sur avec pas vous nous sont cette mais leurs être toujours".split(),
+        "es": "el los las una por con para como más pero sus este entre cuando muy sobre también hasta donde quien".split(),
+    }
+    rng = random.Random(8)
+
+    def said(lang, n):
+        return " ".join(rng.choice(words[lang]) for _ in range(n))
+
+    rows = [(1000 * k + i, said(lang, rng.randrange(30, 200)), lang) for k, lang in enumerate(words) for i in range(100)]
+    clean = [(10_000 + 10 * k + n, said(lang, n), None) for k, lang in enumerate(words) for n in (5, 8)]
+    finnish = "hyvää päivää tämä on suomenkielinen teksti jota malli ei ole koskaan nähnyt eikä sen pitäisi hyväksyä sitä koska kieltä ei opittu"
+    junk = "".join(rng.choice("bcdfghjklmnpqrstvwxzq ") for _ in range(400))
+    foreign = [(20_000, finnish, None), (20_001, junk, None), (20_002, "это текст на языке которому никто не учился и он должен уйти", None)]
+    docs = spark.createDataFrame(rows + clean + foreign, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, SF_DIR).select("doc_id").collect()}
+    assert not kept & {i for i, _, _ in foreign}
+    assert {i for i, _, _ in clean} <= kept
+    assert sum(i not in kept for i, _, _ in rows) <= 2
+
+
 def test_stages_take_edge_rows_and_empty_tables(spark, edge_docs, empty_docs):
     for docs in (edge_docs, empty_docs, edge_docs.withColumn("lang", F.lit(None).cast("string"))):
         for _, stage in corpus_pipeline.STAGES:
