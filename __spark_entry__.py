@@ -10,7 +10,6 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from datetime import UTC, datetime
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,14 +53,14 @@ from dockmetrics.sources import (
 from dockmetrics.sources.files import matching, set_modified
 from dockmetrics.streaming import history_sink, replace_sink, upsert_sink
 
-#: The operators of dockmetrics.llm and their pipeline are optional.
-if find_spec("dockmetrics.llm"):
+# The operators of dockmetrics.llm and their pipeline are optional, and so is what they import.
+try:
     from dockmetrics.llm import queries as llm
-else:
+except ImportError:
     llm = None
-if find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline
-else:
+except ImportError:
     corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
