@@ -23,6 +23,7 @@ from dockmetrics.model import (
     BIKE_STATUS,
     FREE_BIKE_STATUS,
     FREE_BIKE_STATUS_SCHEMA,
+    HISTORY_SCHEMA,
     MOST_CHARGED_BIKES,
     STATION_DIMENSION,
     STATION_INFORMATION,
@@ -34,6 +35,7 @@ from dockmetrics.model import (
 )
 from dockmetrics.operators import bikes, daily, keyed, stations
 from dockmetrics.plans import StreamConf, run_daily_job, run_stream_job, snapshot, wait
+from dockmetrics.plans.daily import preview
 from dockmetrics.session import shared_folder
 from dockmetrics.sources import (
     SourceConf,
@@ -50,7 +52,7 @@ from dockmetrics.sources import (
     upsert,
     write_history,
 )
-from dockmetrics.sources.files import matching, set_modified
+from dockmetrics.sources.files import matching, read_bytes, set_modified, write_bytes
 from dockmetrics.streaming import history_sink, replace_sink, upsert_sink
 
 # The operators of dockmetrics.llm and their pipeline are optional, and so is what they import.
@@ -178,8 +180,16 @@ def daily_station_stats_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over a history that a stream wrote."""
     folder = shared_folder(spark, "daily-job")
-    write_history(fixtures.station_status(spark, sf_dir), f"{folder}/history")
+    _replay(
+        _time_slices(fixtures.station_status(spark, sf_dir), 2),
+        STATION_STATUS_SCHEMA,
+        folder,
+        lambda status: history_sink(
+            status, f"{folder}/history", f"{folder}/checkpoint", rebalance=True
+        ),
+    )
     upsert(_stations(spark, sf_dir), folder, STATION_DIMENSION)
     run_daily_job(
         spark,
@@ -203,6 +213,29 @@ def history_day_of_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(read_history(spark, folder, day_of_month=5))
 
 
+def history_with_damaged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of one day, the files of hour 3 lose their ends and those of hour 4 break in the middle."""
+    folder = shared_folder(spark, "history-damaged")
+    write_history(fixtures.station_status(spark, sf_dir), folder)
+    for hour in (3, 4):
+        for file in matching(spark, f"{folder}/day={HISTORY_DAY}/hour={hour}/*.parquet"):
+            content = bytearray(read_bytes(spark, file))
+            if hour == 3:
+                del content[-8:]
+            else:
+                content[4:40] = bytes(36)
+            write_bytes(spark, file, bytes(content))
+    return zoneless(read_history(spark, folder, skip_unreadable=True))
+
+
+def preview_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of a day in order of time: what the daily job logs, made definite."""
+    folder = shared_folder(spark, "preview")
+    write_history(fixtures.station_status(spark, sf_dir), folder)
+    history = read_history(spark, folder, HISTORY_DAY).orderBy(*HISTORY_SCHEMA.fieldNames()[:4][::-1])
+    return zoneless(spark.createDataFrame(preview(history), HISTORY_SCHEMA))
+
+
 def union_of_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = fixtures.station_status(spark, sf_dir)
     with_bikes = status.filter("num_bikes_available > 0")
@@ -504,6 +537,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_job": daily_job,
         "history_day": history_day,
         "history_day_of_month": history_day_of_month,
+        "history_with_damaged_files": history_with_damaged_files,
+        "preview": preview_of_a_day,
         "union_history": union_of_histories,
         "profile": profile,
         "decode_status": decode_status,
@@ -662,6 +697,10 @@ def oracle_sql() -> dict[str, str]:
             WHERE CAST("timestamp" AS DATE) = DATE '{HISTORY_DAY}' GROUP BY station_id""",
         "history_day": f"""{_HISTORY} WHERE CAST("timestamp" AS DATE) = DATE '{HISTORY_DAY}'""",
         "history_day_of_month": f"""{_HISTORY} WHERE day("timestamp") = 5""",
+        "history_with_damaged_files": f"""{_HISTORY}
+            WHERE CAST("timestamp" AS DATE) <> DATE '{HISTORY_DAY}' OR hour("timestamp") NOT IN (3, 4)""",
+        "preview": f"""{_HISTORY} WHERE CAST("timestamp" AS DATE) = DATE '{HISTORY_DAY}'
+            ORDER BY last_reported, num_docks_available, num_bikes_available, station_id LIMIT 5""",
         "union_history": """
             SELECT station_id, nullif(num_bikes_available, 0) AS num_bikes_available,
                    num_docks_available, last_reported FROM status""",

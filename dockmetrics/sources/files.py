@@ -5,7 +5,8 @@ These calls go through the JVM bridge of a classic session.
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 
@@ -38,18 +39,6 @@ def set_modified(spark: SparkSession, path: str, seconds: float) -> None:
     fs.setTimes(target, int(seconds * 1000), -1)
 
 
-def has_footer(spark: SparkSession, path: str) -> bool:
-    """Whether a file ends as a Parquet file must; a cut or foreign file does not."""
-    jvm = spark._jvm.org.apache
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    try:
-        source = jvm.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.hadoop.fs.Path(path), conf)
-        jvm.parquet.hadoop.ParquetFileReader.open(source).close()
-    except Py4JJavaError:
-        return False
-    return True
-
-
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.mkdirs(target)
@@ -78,3 +67,56 @@ def write_small(spark: SparkSession, path: str, content: str) -> None:
         stream.writeUTF(content)
     finally:
         stream.close()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; none if it does not exist."""
+    fs, target = _resolve(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A whole file that is known to be of modest size."""
+    fs, target = _resolve(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Create or replace a file. Readers see the old one, none, or the whole new one:
+    it is written under a hidden name and then renamed."""
+    fs, target = _resolve(spark, path)
+    folder, name = path.rsplit("/", 1)
+    _, hidden = _resolve(spark, f"{folder}/.{name}.{uuid4().hex}")
+    stream = fs.create(hidden, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+    if not fs.rename(hidden, target):  # not every store replaces what is there
+        fs.delete(target, False)
+        fs.rename(hidden, target)
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    fs, target = _resolve(spark, path)
+    fs.delete(target, False)
+
+
+def files_below(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """All files below a folder whose names end in ``suffix``, relative to it."""
+    fs, target = _resolve(spark, path)
+    if not fs.exists(target):
+        return []
+    root = fs.getFileStatus(target).getPath().toString().rstrip("/") + "/"
+    found, listed = [], fs.listFiles(target, True)
+    while listed.hasNext():
+        name = listed.next().getPath().toString()
+        if name.endswith(suffix):
+            found.append(name.removeprefix(root))
+    return sorted(found)

@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 
 from dockmetrics.functions.time import with_event_time, with_partition_keys
 from dockmetrics.model import HISTORY_SCHEMA, STATION_STATUS_SCHEMA, require_columns
-from dockmetrics.sources.files import exists, has_footer, matching
+from dockmetrics.sources.files import children, exists, matching
+from dockmetrics.sources.history_log import logged_base, logged_days, logged_files
+from dockmetrics.sources.integrity import damaged_files, plain_name
 
 logger = logging.getLogger(__name__)
 
@@ -29,8 +31,8 @@ def write_history(status: DataFrame, path: str) -> None:
 
     The rebalance lets the adaptive planner gather an hour's rows into files of
     the advisory size, and split an hour that holds far more than the others.
-    Not for a folder that a stream writes: readers trust that stream's log and
-    would not see these files. Backfill elsewhere and use ``union_history``.
+    A history that a stream commits to may be backfilled this way; readers see both.
+    Not so a folder of Spark's own file sink, whose log would hide these files.
     """
     rows = history_rows(status).hint("rebalance", "day", "hour")
     rows.write.mode("append").partitionBy("day", "hour").parquet(path)
@@ -46,20 +48,16 @@ def read_history(
 ) -> DataFrame:
     """History rows of one date, or all of them.
 
-    Of a history that batches wrote only the date's folders are listed and read. One
-    that a stream wrote is listed by the stream's log, and the filter on the partition
-    column prunes it. ``day_of_month`` selects that day of every month and year.
-    A folder that does not exist reads as empty.
+    Only the date's files are listed and read: its folders, and what the stream's commits
+    name for it. ``day_of_month`` selects that day of every month and year. A folder that
+    does not exist reads as empty.
 
     An unreadable file is an error. ``skip_unreadable`` leaves out the files that
-    ``unreadable_files`` names and logs them; a file that breaks in the middle stays
-    an error.
+    ``unreadable_files`` names, whole, and logs them.
     """
     files, bad = _files(spark, path, day, day_of_month) if skip_unreadable else ([], [])
     for file in bad:
         logger.warning("skipped unreadable history file %s", file)
-    if bad and not files:
-        return spark.createDataFrame([], HISTORY_SCHEMA)
     return _history(spark, path, day, day_of_month, files if bad else None)
 
 
@@ -70,8 +68,7 @@ def unreadable_files(
     *,
     day_of_month: int | None = None,
 ) -> list[str]:
-    """The files of a history that are no whole Parquet files. Looks at each file's
-    end from the driver: meant for the files of a day."""
+    """The files of a history that cannot be read to their end, checked by the executors."""
     return _files(spark, path, day, day_of_month)[1]
 
 
@@ -79,13 +76,13 @@ def _files(
     spark: SparkSession, path: str, day: date | str | None, day_of_month: int | None
 ) -> tuple[list[str], list[str]]:
     """Readable and unreadable files of the chosen days."""
-    files = _history(spark, path, day, day_of_month).inputFiles()
+    files = [plain_name(f) for f in _history(spark, path, day, day_of_month).inputFiles()]
     if day is not None:
         files = [f for f in files if f"/day={parse_day(day)}/" in f]
     if day_of_month is not None:
         files = [f for f in files if f"-{day_of_month:02d}/hour=" in f]
-    readable = {f: has_footer(spark, f) for f in files}
-    return [f for f in files if readable[f]], [f for f in files if not readable[f]]
+    bad = damaged_files(spark, files)
+    return [f for f in files if f not in bad], [f for f in files if f in bad]
 
 
 def _history(
@@ -95,16 +92,27 @@ def _history(
     day_of_month: int | None,
     files: list[str] | None = None,
 ) -> DataFrame:
+    """Rows of the chosen days, of the given files only if there are some."""
     if day_of_month is not None and not 1 <= day_of_month <= 31:
         raise ValueError(f"day of month must be 1 to 31, not {day_of_month}")
+    path = path.rstrip("/")
     day = None if day is None else parse_day(day)
-    paths = files or _folders(spark, path, day, day_of_month)
-    if not paths:
+    base = logged_base(path)
+    if files is None:
+        folders, logged = _folders(spark, path, day, day_of_month), _logged(spark, path, day, day_of_month)
+    else:
+        logged = [f for f in files if "/_log/data/" in f]
+        folders = [f for f in files if "/_log/data/" not in f]
+    parts = []
+    if folders:
+        reader = spark.read.schema(HISTORY_SCHEMA)
+        parts.append((reader if folders == [path] else reader.option("basePath", path)).parquet(*folders))
+    if logged:
+        rows = spark.read.schema(_LOGGED_SCHEMA).option("basePath", base).parquet(*logged)
+        parts.append(rows.select(*HISTORY_SCHEMA.fieldNames()))
+    if not parts:
         return spark.createDataFrame([], HISTORY_SCHEMA)
-    reader = spark.read.schema(HISTORY_SCHEMA)
-    if paths != [path.rstrip("/")]:
-        reader = reader.option("basePath", path)
-    history = reader.parquet(*paths)
+    history = union_history(parts)
     if day is not None:
         history = history.filter(F.col("day") == F.lit(day))
     if day_of_month is not None:
@@ -112,16 +120,38 @@ def _history(
     return history
 
 
+#: Committed files also stand below the write that they belong to.
+_LOGGED_SCHEMA = T.StructType(
+    [
+        *HISTORY_SCHEMA.fields,
+        T.StructField("run", T.IntegerType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("attempt", T.StringType()),
+    ]
+)
+
+
+def _logged(spark: SparkSession, path: str, day: date | None, day_of_month: int | None) -> list[str]:
+    """The committed files of the chosen days."""
+    if day is not None:
+        return logged_files(spark, path, [f"day={day}"])
+    days = logged_days(spark, path)
+    if day_of_month is not None:
+        days = [d for d in days if d.endswith(f"-{day_of_month:02d}")]
+    return logged_files(spark, path, days)
+
+
 def _folders(
     spark: SparkSession, path: str, day: date | None, day_of_month: int | None
 ) -> list[str]:
     """The folders that hold the chosen days; none if there are none."""
-    path = path.rstrip("/")
-    if not exists(spark, path):
-        return []
-    if exists(spark, f"{path}/_spark_metadata") or (day is None and day_of_month is None):
+    if exists(spark, f"{path}/_spark_metadata"):  # a file sink's history is listed by its log
         return [path]
-    return matching(spark, f"{path}/day={day}" if day else f"{path}/day=*-{day_of_month:02d}")
+    if day is not None:
+        return matching(spark, f"{path}/day={day}")
+    if day_of_month is not None:
+        return matching(spark, f"{path}/day=*-{day_of_month:02d}")
+    return [path] if any(name.startswith("day=") for name in children(spark, path)) else []
 
 
 def read_day_of_month_history(

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from dockmetrics.model import TableSpec
 from dockmetrics.sources.files import exists, read_small, write_small
 from dockmetrics.sources.history import history_rows
+from dockmetrics.sources.history_log import FOLD_EVERY, commit_batch, next_history_run
 from dockmetrics.sources.tables import compact, next_run, write_batch
 
 COMPACT_EVERY = 60
@@ -18,7 +19,7 @@ COMPACT_EVERY = 60
 Prepare = Callable[[DataFrame], DataFrame]
 
 
-def _run_of(spark: SparkSession, root: str, spec: TableSpec, checkpoint: str) -> int:
+def _run_of(spark: SparkSession, checkpoint: str, new_run: Callable[[], int]) -> int:
     """The run number that belongs to a checkpoint, new for a new checkpoint.
 
     Kept inside the checkpoint, so that both are discarded together.
@@ -26,7 +27,7 @@ def _run_of(spark: SparkSession, root: str, spec: TableSpec, checkpoint: str) ->
     marker = f"{checkpoint}/table_run"
     if exists(spark, marker):
         return int(read_small(spark, marker))
-    run = next_run(spark, root, spec)
+    run = new_run()
     write_small(spark, marker, str(run))
     return run
 
@@ -58,7 +59,8 @@ def _table_sink(
     compact_every: int,
     unique: bool = False,
 ) -> DataStreamWriter:
-    run = _run_of(df.sparkSession, root, spec, checkpoint)
+    spark = df.sparkSession
+    run = _run_of(spark, checkpoint, lambda: next_run(spark, root, spec))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         with _adaptive(batch.sparkSession):
@@ -119,24 +121,35 @@ def replace_sink(
 
 
 def history_sink(
-    status: DataFrame, path: str, checkpoint: str, *, rebalance: bool = False
+    status: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    rebalance: bool = False,
+    fold_every: int = FOLD_EVERY,
 ) -> DataStreamWriter:
     """Append status records to the history by UTC date and hour, exactly once.
 
+    Each micro-batch is a commit that names its files under their days, so a reader of a
+    day lists that day alone (``history_log``).
+
     By default tasks write what they read and nothing is shuffled, right while a
     trigger spans an hour or two and has few tasks. A backfill over many days, or
     a topic of very many partitions, would leave a small file per task and hour;
     ``rebalance`` then lets the adaptive planner gather each hour into files of
     the advisory size and split an hour that is far larger than the others.
     """
-    rows = history_rows(status)
-    if rebalance:
-        rows = rows.hint("rebalance", "day", "hour")
+    spark = status.sparkSession
+    run = _run_of(spark, checkpoint, lambda: next_history_run(spark, path))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.hint("rebalance", "day", "hour") if rebalance else batch
+        commit_batch(rows, path, run, batch_id, fold_every)
+
     return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("day", "hour")
-        .option("path", path)
+        history_rows(status)
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .queryName(f"history ({checkpoint})")
+        .foreachBatch(store)
     )

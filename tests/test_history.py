@@ -7,12 +7,16 @@ import pytest
 
 from dockmetrics.model import HISTORY_SCHEMA
 from dockmetrics.sources import (
+    files,
+    history_log,
+    history_rows,
     read_day_of_month_history,
     read_history,
     union_history,
     unreadable_files,
     write_history,
 )
+from dockmetrics.sources.history_log import commit_batch
 
 STATUS = "station_id string, num_bikes_available int, num_docks_available int, last_reported int"
 
@@ -96,6 +100,23 @@ def test_unreadable_files_are_skipped_or_reported(spark, history):
     assert read_history(spark, history, "2023-07-01", skip_unreadable=True).count() == 0
 
 
+def test_a_file_broken_in_the_middle_is_left_out_whole(spark, history):
+    folder = next(Path(history).glob("day=2024-01-27/hour=3"))
+    rows = [(f"m{i}", i, i, second("2024-01-27T03:00:00")) for i in range(3000)]
+    spark.createDataFrame(rows, STATUS).coalesce(1).selectExpr(
+        "*", "timestamp_seconds(last_reported) as timestamp"
+    ).write.option("parquet.page.size", 512).option("parquet.page.row.count.limit", 100).mode("append").parquet(str(folder))
+    broken = max(folder.glob("*.parquet"), key=lambda p: p.stat().st_size)
+    assert unreadable_files(spark, history) == []
+    content = bytearray(broken.read_bytes())
+    content[len(content) // 2 : len(content) // 2 + 40] = bytes(40)
+    broken.write_bytes(bytes(content))
+    for checksum in folder.glob(".*.crc"):
+        checksum.unlink()
+    assert [f.rsplit("/", 1)[1] for f in unreadable_files(spark, history, "2024-01-27")] == [broken.name]
+    assert ids(read_history(spark, history, "2024-01-27", skip_unreadable=True)) == ["s2"]
+
+
 def test_only_the_files_of_a_day_are_listed(spark, history):
     one = Path(history).glob("day=2024-01-05/*/*.parquet")
     listed = read_history(spark, history, "2024-01-05").inputFiles()
@@ -139,3 +160,94 @@ def test_union_is_by_name_and_fills_missing_columns(spark):
     assert union_history([a, a]).count() == 2
     with pytest.raises(ValueError, match="nothing"):
         union_history([])
+
+
+# --- histories that streams commit to ---------------------------------------------
+
+
+def status_rows(spark, *moments, station="s"):
+    rows = [(f"{station}{i}", i, 10 - i, second(m)) for i, m in enumerate(moments)]
+    return history_rows(spark.createDataFrame(rows, STATUS))
+
+
+def test_a_daily_read_lists_only_that_days_entries_and_files(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/history"
+    for batch in range(4):
+        rows = status_rows(spark, f"2024-01-0{batch + 1}T03:00:00", "2024-01-09T05:00:00")
+        commit_batch(rows, path, 1, batch)
+    listed, read = [], []
+    monkeypatch.setattr(history_log, "children", lambda s, p: listed.append(p) or files.children(s, p))
+    monkeypatch.setattr(history_log, "read_bytes", lambda s, p: read.append(p) or files.read_bytes(s, p))
+    day = read_history(spark, path, "2024-01-02")
+    assert ids(day) == ["s0"]
+    assert len(day.inputFiles()) == 1
+    assert {p.rsplit("/", 1)[1] for p in listed} == {"day=2024-01-02"}
+    assert len(read) == 1
+    assert ids(read_history(spark, path, "2024-01-09")) == ["s1"] * 4
+    assert read_history(spark, path).count() == 8
+    assert ids(read_history(spark, path, day_of_month=3)) == ["s0"]
+    assert read_history(spark, path, "2024-01-02").schema == HISTORY_SCHEMA
+
+
+def test_a_committed_batch_is_not_written_again_and_a_failed_one_is(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/history"
+    rows = status_rows(spark, "2024-01-01T03:00:00", "2024-01-02T03:00:00")
+    commit_batch(rows, path, 1, 0)
+    commit_batch(rows, path, 1, 0)
+    assert read_history(spark, path).count() == 2
+
+    def fails_on_the_second_day(session, target, content):
+        if "day=2024-01-02" in target:
+            raise OSError("lost")
+        files.write_bytes(session, target, content)
+
+    monkeypatch.setattr(history_log, "write_bytes", fails_on_the_second_day)
+    with pytest.raises(OSError, match="lost"):
+        commit_batch(rows, path, 1, 1)
+    monkeypatch.undo()
+    assert read_history(spark, path, "2024-01-02").count() == 1
+    commit_batch(rows, path, 1, 1)
+    assert read_history(spark, path).count() == 4
+    assert len(list(Path(path).glob("_log/data/run=1/batch_id=1/attempt=*"))) == 1
+
+
+def test_entries_of_a_day_are_folded_and_old_ones_go(spark, tmp_path):
+    path = f"{tmp_path}/history"
+    for batch in range(8):
+        commit_batch(status_rows(spark, "2024-01-01T03:00:00"), path, 1, batch, fold_every=3)
+        assert read_history(spark, path, "2024-01-01").count() == batch + 1
+    entries = files.children(spark, f"{path}/_log/days/day=2024-01-01")
+    assert [e for e in entries if not e.startswith(".")] == [
+        "commit-1-3", "commit-1-4", "commit-1-5", "commit-1-6", "commit-1-7", "upto-1-2", "upto-1-5",
+    ]
+    assert history_log.next_history_run(spark, path) == 2
+    commit_batch(status_rows(spark, "2024-01-01T04:00:00"), path, 2, 0, fold_every=3)
+    assert read_history(spark, path, "2024-01-01").count() == 9
+
+
+def test_batches_and_streams_share_a_history(spark, tmp_path):
+    path = f"{tmp_path}/history"
+    commit_batch(status_rows(spark, "2024-01-01T03:00:00"), path, 1, 0)
+    backfill = status_rows(spark, "2024-01-01T04:00:00", "2023-12-31T01:00:00", station="old")
+    write_history(backfill.select("station_id", "num_bikes_available", "num_docks_available", "last_reported"), path)
+    assert ids(read_history(spark, path, "2024-01-01")) == ["old0", "s0"]
+    assert ids(read_history(spark, path)) == ["old0", "old1", "s0"]
+    assert unreadable_files(spark, path) == []
+    committed = next(Path(path).glob("_log/data/**/*.parquet"))
+    committed.write_bytes(committed.read_bytes()[:-9])
+    for checksum in committed.parent.glob(".*.crc"):
+        checksum.unlink()
+    assert ids(read_history(spark, path, skip_unreadable=True)) == ["old0", "old1"]
+
+
+def test_rows_without_a_time_are_kept(spark, tmp_path):
+    path = f"{tmp_path}/history"
+    commit_batch(history_rows(spark.createDataFrame([("s", 1, 2, None)], STATUS)), path, 1, 0)
+    assert [(r.station_id, r.day, r.hour) for r in read_history(spark, path).collect()] == [("s", None, None)]
+    assert read_history(spark, path, "2024-01-01").count() == 0
+
+
+def test_a_committed_batch_without_rows(spark, tmp_path):
+    path = f"{tmp_path}/history"
+    commit_batch(history_rows(spark.createDataFrame([], STATUS)), path, 1, 0)
+    assert read_history(spark, path).count() == 0
