@@ -42,6 +42,7 @@ from dockmetrics.sources import (
     bad_record_counts,
     compact,
     decode,
+    ensure_tables,
     ensure_topic,
     explode_feed,
     publish,
@@ -52,8 +53,28 @@ from dockmetrics.sources import (
     upsert,
     write_history,
 )
-from dockmetrics.sources.files import matching, read_bytes, set_modified, write_bytes
-from dockmetrics.streaming import history_sink, replace_sink, upsert_sink
+from dockmetrics.sources.files import (
+    exists,
+    make_folder,
+    matching,
+    read_bytes,
+    set_modified,
+    write_bytes,
+)
+from dockmetrics.sources.logs import read_log
+from dockmetrics.streaming import (
+    adding,
+    enrich_sink,
+    fan_out_sink,
+    history_sink,
+    quarantine_sink,
+    read_enriched,
+    read_late_reports,
+    replace_sink,
+    replacing,
+    upsert_sink,
+)
+from dockmetrics.streaming.quarantine import REJECTED_SCHEMA
 
 # The operators of dockmetrics.llm and their pipeline are optional, and so is what they import.
 try:
@@ -469,8 +490,126 @@ def stream_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(read_history(spark, f"{folder}/history"))
 
 
+#: Early and later reports, for streams whose batches an oracle must know.
+STREAM_CUT = int(datetime(2024, 1, 16, tzinfo=UTC).timestamp())
+
+
+def stream_live_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries that run on while a third of the stations are announced between two slices."""
+    folder = shared_folder(spark, "live")
+    known, status = _stations(spark, sf_dir), fixtures.station_status(spark, sf_dir)
+    announced_late = F.col("station_id").cast("int") % 3 == 0
+    upsert(known.filter(~announced_late), folder, STATION_DIMENSION)
+    ensure_tables(spark, folder, [STATION_STATUS_WINDOWED])
+    source = SourceConf("files", f"{folder}/topics")
+    landing = f"{folder}/topics/{STATION_STATUS}"
+    _as_messages(status.filter(F.col("last_reported") < STREAM_CUT)).write.text(landing)
+    make_folder(spark, f"{folder}/enriched")
+    enriched = enrich_sink(
+        decode(read_topic(spark, source, STATION_STATUS), STATION_STATUS_SCHEMA),
+        lambda session: read_table(session, folder, STATION_DIMENSION),
+        folder,
+        f"{folder}/checkpoint/enriched",
+    ).start()
+    totals = stations.network_totals(read_enriched(spark, folder), watermark="10 minutes")
+    rollup = upsert_sink(
+        totals, folder, STATION_STATUS_WINDOWED, f"{folder}/checkpoint/rollup", unique=True
+    ).start()
+    try:
+        enriched.processAllAvailable()
+        upsert(known.filter(announced_late), folder, STATION_DIMENSION)
+        _as_messages(status.filter(F.col("last_reported") >= STREAM_CUT)).write.mode("append").text(landing)
+        enriched.processAllAvailable()
+        rollup.processAllAvailable()
+    finally:
+        enriched.stop()
+        rollup.stop()
+    return zoneless(read_table(spark, folder, STATION_STATUS_WINDOWED))
+
+
+def stream_late_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seventh of the reports lands after all others; what is behind the watermark by then."""
+    folder = shared_folder(spark, "late")
+    status, known = fixtures.station_status(spark, sf_dir), _stations(spark, sf_dir)
+    lagging = F.col("num_docks_available") % 7 == 3
+    early = F.col("last_reported") < STREAM_CUT
+    _replay(
+        [status.filter(~lagging & early), status.filter(~lagging & ~early), status.filter(lagging)],
+        STATION_STATUS_SCHEMA,
+        folder,
+        lambda reports: enrich_sink(reports, lambda _: known, folder, f"{folder}/checkpoint"),
+    )
+    return zoneless(read_late_reports(spark, folder).drop("run"))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages by what became of them: cut short where a station has no bikes, without a
+    known field where it has no docks, else usable. Restarts between slices."""
+    folder = shared_folder(spark, "quarantine")
+    for part in _time_slices(fixtures.station_status(spark, sf_dir), 2):
+        whole = F.to_json(F.struct(*part.columns))
+        other = F.to_json(F.struct(F.col("num_bikes_available").alias("other")))
+        message = F.when(F.col("num_bikes_available") == 0, F.substring(whole, 1, 20))
+        message = message.when(F.col("num_docks_available") == 0, other).otherwise(whole)
+        part.select(message.alias("value")).write.mode("append").text(f"{folder}/landing")
+        sink = quarantine_sink(
+            spark.readStream.text(f"{folder}/landing"), STATION_STATUS_SCHEMA, f"{folder}/tables", f"{folder}/checkpoint"
+        )
+        sink.trigger(availableNow=True).start().awaitTermination()
+    rejected = read_log(spark, f"{folder}/tables", "rejected", REJECTED_SCHEMA)
+    usable = read_log(spark, f"{folder}/tables", "records", STATION_STATUS_SCHEMA)
+    shown = usable.select(F.to_json(F.struct(*STATION_STATUS_SCHEMA.fieldNames())).alias("text"), F.lit("usable").alias("reason"))
+    both = rejected.select("text", "reason").unionByName(shown)
+    return both.groupBy("reason", "text").agg(F.count(F.lit(1)).alias("message_count"))
+
+
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query feeds three tables from two slices, the second one after a restart."""
+    folder = shared_folder(spark, "fan-out")
+    known, reports = _stations(spark, sf_dir), fixtures.free_bike_status(spark, sf_dir)
+    early = F.col("last_reported") < STREAM_CUT
+    tables = {
+        BIKE_STATUS: adding(folder, BIKE_STATUS, bikes.abandoned_count, ["abandoned_bikes_count"]),
+        BIKE_SITUATION: replacing(folder, BIKE_SITUATION, lambda b: bikes.bike_situation(b, known)),
+        MOST_CHARGED_BIKES: replacing(folder, MOST_CHARGED_BIKES, lambda b: bikes.top_range(b, known)),
+    }
+    _replay(
+        # single reports of the early days come again with the second slice, and are added
+        [reports.filter(early), reports.filter(~early | (F.col("current_range_meters") % 50 == 0))],
+        FREE_BIKE_STATUS_SCHEMA,
+        folder,
+        lambda records: fan_out_sink(records, folder, f"{folder}/checkpoint", tables),
+    )
+    kind, count = F.lit(None).cast("string"), F.lit(None).cast("long")
+    parts = [
+        read_table(spark, folder, BIKE_STATUS).select(
+            F.lit("bike_status").alias("table_name"), "timestamp", kind.alias("bike_id"), kind.alias("detail"),
+            F.col("abandoned_bikes_count").alias("number"),
+        ),
+        read_table(spark, folder, BIKE_SITUATION).select(
+            F.lit("bike_situation"), "timestamp", "bike_id", F.concat_ws(" at ", "situation", "station_name"), count
+        ),
+        read_table(spark, folder, MOST_CHARGED_BIKES).select(
+            F.lit("most_charged_bikes"), "timestamp", "bike_id", "station_name", count
+        ),
+    ]
+    return zoneless(parts[0].union(parts[1]).union(parts[2]))
+
+
+_stream_jobs: dict[tuple[str, str], StreamConf] = {}
+
+
 def _stream_job(spark: SparkSession, sf_dir: str) -> StreamConf:
-    """The six queries over landed topics, each until it has read all."""
+    """The six queries over landed topics, each until it has read all. One run feeds the
+    rows of all its tables."""
+    key = spark.sparkContext.applicationId, sf_dir
+    done = _stream_jobs.get(key)
+    if done is None or not exists(spark, done.root):
+        _stream_jobs[key] = _run_stream_job(spark, sf_dir)
+    return _stream_jobs[key]
+
+
+def _run_stream_job(spark: SparkSession, sf_dir: str) -> StreamConf:
     folder = shared_folder(spark, "stream-job")
     feeds = {
         STATION_INFORMATION: fixtures.station_information(spark, sf_dir),
@@ -561,6 +700,10 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_sink_top_range": replace_sink_top_range,
         "stream_station_dimension": stream_station_dimension,
         "stream_backfill": stream_backfill,
+        "stream_live_dimension": stream_live_dimension,
+        "stream_late_reports": stream_late_reports,
+        "stream_quarantine": stream_quarantine,
+        "stream_fan_out": stream_fan_out,
         "stream_job_network_status": stream_job_network_status,
         "stream_job_abandoned_count": stream_job_abandoned_count,
         "stream_job_history": stream_job_history,
@@ -654,6 +797,48 @@ SELECT station_id, num_bikes_available, num_docks_available, last_reported, "tim
 FROM status
 """
 
+_LATE_REPORTS = f"""
+, sliced AS (
+  SELECT *, CASE WHEN num_docks_available % 7 = 3 THEN 2 WHEN last_reported < {STREAM_CUT} THEN 0 ELSE 1 END AS batch_id
+  FROM status),
+reached AS (
+  SELECT b.batch_id, max(s."timestamp") - INTERVAL 10 MINUTE AS watermark
+  FROM (SELECT DISTINCT batch_id FROM sliced) b JOIN sliced s ON s.batch_id < b.batch_id GROUP BY b.batch_id)
+SELECT station_id, num_bikes_available, num_docks_available, last_reported, "timestamp", watermark,
+       CAST(batch_id AS BIGINT) AS batch_id
+FROM sliced JOIN reached USING (batch_id) WHERE "timestamp" <= watermark
+"""
+
+_QUARANTINE = """
+, message AS (
+  SELECT *, '{"station_id":"' || station_id || '","num_bikes_available":' || num_bikes_available ||
+         ',"num_docks_available":' || num_docks_available || ',"last_reported":' || last_reported || '}' AS whole
+  FROM status)
+SELECT CASE WHEN num_bikes_available = 0 THEN 'not JSON' WHEN num_docks_available = 0 THEN 'no usable field'
+            ELSE 'usable' END AS reason,
+       CASE WHEN num_bikes_available = 0 THEN substr(whole, 1, 20)
+            WHEN num_docks_available = 0 THEN '{"other":' || num_bikes_available || '}' ELSE whole END AS "text",
+       CAST(count(*) AS BIGINT) AS message_count
+FROM message GROUP BY ALL
+"""
+
+#: The reports of the second slice; those that were in the first as well count twice.
+_FAN_OUT = f"""
+, late AS (
+  SELECT * FROM bike WHERE last_reported >= {STREAM_CUT} OR current_range_meters % 50 = 0),
+both_slices AS (
+  SELECT * FROM bike WHERE last_reported < {STREAM_CUT} UNION ALL SELECT * FROM late),
+top AS ({_TOP_RANGE_LATEST.replace("FROM bike", "FROM late")}),
+situations AS ({_LAST_SITUATION.replace("FROM bike", "FROM late")})
+SELECT 'bike_status' AS table_name, "timestamp", CAST(NULL AS VARCHAR) AS bike_id,
+       CAST(NULL AS VARCHAR) AS detail, abandoned_bikes_count AS number
+FROM ({_ABANDONED_COUNT.replace("FROM bike", "FROM both_slices")})
+UNION ALL
+SELECT 'bike_situation', "timestamp", bike_id, situation || ' at ' || station_name, NULL FROM situations
+UNION ALL
+SELECT 'most_charged_bikes', "timestamp", bike_id, station_name, NULL FROM top
+"""
+
 _STATUS = "SELECT station_id, num_bikes_available, num_docks_available, last_reported FROM status"
 
 _EXPLODED = f"""{_STATUS} UNION ALL
@@ -741,6 +926,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_history": _HISTORY,
         "stream_bike_situation": _LAST_SITUATION,
         "stream_backfill": _HISTORY,
+        "stream_live_dimension": _NETWORK_STATUS.replace(
+            "GROUP BY",
+            f"WHERE last_reported >= {STREAM_CUT} OR TRY_CAST(station_id AS INTEGER) % 3 <> 0 GROUP BY",
+        ),
+        "stream_late_reports": _LATE_REPORTS,
+        "stream_quarantine": _QUARANTINE,
+        "stream_fan_out": _FAN_OUT,
         "stream_job_network_status": _NETWORK_STATUS,
         "stream_job_abandoned_count": _ABANDONED_COUNT,
         "stream_job_history": _HISTORY,

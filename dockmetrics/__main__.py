@@ -33,6 +33,8 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--history", required=True)
     stream.add_argument("--window", help="tumbling window of the rollups, such as '1 minute'")
     stream.add_argument("--rebalance-history", action="store_true", help="for backfills")
+    stream.add_argument("--live-dimension", action="store_true", help="follow the stations by batch")
+    stream.add_argument("--fan-out", action="store_true", help="read the bike topic once for its tables")
 
     for job in (ingest, stream):
         job.add_argument("--source", choices=["kafka", "files", "documents"], default="kafka")
@@ -91,6 +93,8 @@ def main(argv: list[str] | None = None) -> int:
         checkpoints=args.checkpoints,
         window=args.window,
         rebalance_history=args.rebalance_history,
+        live_dimension=args.live_dimension,
+        fan_out=args.fan_out,
         available_now=args.available_now,
     )
     queries = run_stream_job(spark, conf)

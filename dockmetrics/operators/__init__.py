@@ -10,7 +10,12 @@ from dockmetrics.operators.bikes import (
 from dockmetrics.operators.daily import daily_station_stats, profile
 from dockmetrics.operators.dimension import fits_broadcast, join_stations
 from dockmetrics.operators.keyed import latest_by_key, top_per_key
-from dockmetrics.operators.stations import network_status, station_dimension, with_station_flags
+from dockmetrics.operators.stations import (
+    network_status,
+    network_totals,
+    station_dimension,
+    with_station_flags,
+)
 
 __all__ = [
     "abandoned",
@@ -21,6 +26,7 @@ __all__ = [
     "join_stations",
     "latest_by_key",
     "network_status",
+    "network_totals",
     "profile",
     "station_dimension",
     "top_per_key",

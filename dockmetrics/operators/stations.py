@@ -60,11 +60,24 @@ def network_status(
     timed = with_event_time(status)
     if watermark:
         timed = timed.withWatermark("timestamp", watermark)
-    flagged = with_station_flags(
-        join_stations(timed, stations.select("station_id", "capacity")), margin
-    )
+    known = join_stations(timed, stations.select("station_id", "capacity"))
+    return network_totals(known, window=window, margin=margin)
+
+
+def network_totals(
+    enriched: DataFrame,
+    *,
+    window: str | None = None,
+    watermark: str | None = None,
+    margin: int = NEARLY_FULL_MARGIN,
+) -> DataFrame:
+    """The totals of ``network_status`` over reports that carry ``timestamp`` and their
+    station's ``capacity`` already."""
+    require_columns(enriched, ["timestamp", "capacity", "num_bikes_available", "num_docks_available"])
+    if watermark:
+        enriched = enriched.withWatermark("timestamp", watermark)
     totals = rollup_by_time(
-        flagged,
+        with_station_flags(enriched, margin),
         window,
         F.sum("num_bikes_available").alias("total_bikes_available"),
         F.sum("num_docks_available").alias("total_docks_available"),

@@ -25,7 +25,7 @@ from dockmetrics.model import (
     TableSpec,
 )
 from dockmetrics.operators.bikes import abandoned_count, bike_situation, top_range
-from dockmetrics.operators.stations import network_status, station_dimension
+from dockmetrics.operators.stations import network_status, network_totals, station_dimension
 from dockmetrics.sources.feeds import (
     SourceConf,
     decode,
@@ -35,8 +35,10 @@ from dockmetrics.sources.feeds import (
     read_landed,
     read_topic,
 )
-from dockmetrics.sources.files import remove_tree
+from dockmetrics.sources.files import make_folder, remove_tree
 from dockmetrics.sources.tables import ensure_tables, read_table
+from dockmetrics.streaming.fanout import adding, fan_out_sink, replacing
+from dockmetrics.streaming.live import enrich_sink, read_enriched
 from dockmetrics.streaming.progress import counted
 from dockmetrics.streaming.sinks import history_sink, replace_sink, upsert_sink
 
@@ -45,7 +47,10 @@ from dockmetrics.streaming.sinks import history_sink, replace_sink, upsert_sink
 class StreamConf:
     """Settings of the speed layer; defaults follow the feeds' one-minute polls.
 
-    ``available_now`` processes what the topics hold and stops.
+    ``available_now`` processes what the topics hold and stops. ``live_dimension`` lets the
+    status rollup follow the stations batch by batch, in two queries, and keeps late reports
+    (``streaming.live``). ``fan_out`` feeds the three bike tables from one query that reads
+    their topic once; its abandoned counts take late reports in.
     """
 
     source: SourceConf
@@ -59,6 +64,8 @@ class StreamConf:
     top: int = 3
     latest_per_bike: bool = True
     rebalance_history: bool = False
+    live_dimension: bool = False
+    fan_out: bool = False
     available_now: bool = False
 
 
@@ -119,8 +126,36 @@ def _start_status_rollup(spark: SparkSession, conf: StreamConf) -> StreamingQuer
     return _start(conf, writer, conf.trigger)
 
 
+def live_folder(conf: StreamConf) -> str:
+    """Where a live status rollup passes its reports on and keeps the late ones."""
+    return f"{conf.root.rstrip('/')}/live_status"
+
+
+def _start_enriched(spark: SparkSession, conf: StreamConf) -> StreamingQuery:
+    make_folder(spark, f"{live_folder(conf)}/enriched")
+    writer = enrich_sink(
+        _records(spark, conf.source, STATION_STATUS),
+        lambda session: _stations(session, conf),
+        live_folder(conf),
+        f"{conf.checkpoints}/station_status_enriched",
+        watermark=conf.watermark,
+    )
+    query = _start(conf, writer, conf.trigger)
+    if conf.available_now:  # the rollup then reads all that this one passed on
+        query.awaitTermination()
+    return query
+
+
+def _start_live_rollup(spark: SparkSession, conf: StreamConf) -> StreamingQuery:
+    enriched = read_enriched(spark, live_folder(conf), clean=True)
+    totals = network_totals(enriched, window=conf.window, watermark=conf.watermark)
+    checkpoint = f"{conf.checkpoints}/station_status_live"
+    writer = upsert_sink(totals, conf.root, STATION_STATUS_WINDOWED, checkpoint, unique=True)
+    return _start(conf, writer, conf.trigger)
+
+
 def run_stream_job(spark: SparkSession, conf: StreamConf) -> dict[str, StreamingQuery]:
-    """Start the six queries and return them by name.
+    """Start the queries and return them by name.
 
     The station dimension is first brought up to date, then read: once for the
     status rollup, whose stations are those known when it (re)starts, and afresh
@@ -159,13 +194,13 @@ def run_stream_job(spark: SparkSession, conf: StreamConf) -> dict[str, Streaming
         f"{conf.checkpoints}/history",
         rebalance=conf.rebalance_history,
     )
-    starts = {
-        "station_information": lambda: (
-            drained
-            if conf.available_now
-            else _start(conf, _dimension_writer(spark, conf), conf.trigger)
-        ),
-        "station_status": lambda: _start_status_rollup(spark, conf),
+    rollup = {"station_status": lambda: _start_status_rollup(spark, conf)}
+    if conf.live_dimension:
+        rollup = {
+            "station_status_enriched": lambda: _start_enriched(spark, conf),
+            "station_status": lambda: _start_live_rollup(spark, conf),
+        }
+    of_bikes = {
         "abandoned_bikes": lambda: _start(conf, abandoned, conf.trigger),
         "bike_situation": lambda: _start(
             conf, snapshot_of_bikes(BIKE_SITUATION, situations), conf.trigger
@@ -173,6 +208,28 @@ def run_stream_job(spark: SparkSession, conf: StreamConf) -> dict[str, Streaming
         "most_charged_bikes": lambda: _start(
             conf, snapshot_of_bikes(MOST_CHARGED_BIKES, most_charged), conf.trigger
         ),
+    }
+    if conf.fan_out:
+        tables = {
+            BIKE_STATUS: adding(
+                conf.root,
+                BIKE_STATUS,
+                lambda batch: abandoned_count(batch, window=conf.window),
+                ["abandoned_bikes_count"],
+            ),
+            BIKE_SITUATION: replacing(conf.root, BIKE_SITUATION, situations),
+            MOST_CHARGED_BIKES: replacing(conf.root, MOST_CHARGED_BIKES, most_charged),
+        }
+        writer = fan_out_sink(bikes, conf.root, f"{conf.checkpoints}/free_bike_status", tables)
+        of_bikes = {"free_bike_status": lambda: _start(conf, writer, conf.trigger)}
+    starts = {
+        "station_information": lambda: (
+            drained
+            if conf.available_now
+            else _start(conf, _dimension_writer(spark, conf), conf.trigger)
+        ),
+        **rollup,
+        **of_bikes,
         "history": lambda: _start(conf, history, conf.history_trigger),
     }
     return _start_all(starts)
@@ -208,14 +265,14 @@ def keep_running(
 
     Looks at the stations now and then. If they changed, the status rollup is
     restarted on its checkpoint: it goes on with its state and offsets, and
-    counts the stations known by now.
+    counts the stations known by now. A live rollup follows them without.
     """
     known = stations_digest(spark, conf)
     try:
         while all(query.isActive for query in queries.values()):
             ended = queries["station_status"].awaitTermination(check_seconds)
             current = stations_digest(spark, conf)
-            if not ended and current != known:
+            if not ended and current != known and not conf.live_dimension:
                 queries["station_status"].stop()
                 queries["station_status"] = _start_status_rollup(spark, conf)
                 known = current

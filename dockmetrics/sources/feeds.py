@@ -87,6 +87,31 @@ def decode(messages: DataFrame, schema: T.StructType, *, on_bad: str = "drop") -
     return messages.select(F.inline(usable), *_arrival(messages))
 
 
+#: Why a message is no record.
+NO_TEXT, NOT_JSON, NO_FIELD = "no text", "not JSON", "no usable field"
+
+
+def parsed_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """(text, record, reason): each message parsed once; ``reason`` is null for records that
+    ``decode`` keeps, and tells why the others are none."""
+    require_columns(messages, ["value"])
+    corrupt = "_corrupt_message"
+    wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    text = F.col("value").cast("string")
+    parsed = messages.select(
+        text.alias("text"), F.from_json(text, wide, {"columnNameOfCorruptRecord": corrupt}).alias("parsed")
+    )
+    found = F.col("parsed")
+    reason = (
+        F.when(F.col("text").isNull(), NO_TEXT)
+        .when(_any_field(found, schema), None)
+        .when(found.isNull() | found[corrupt].isNotNull(), NOT_JSON)
+        .otherwise(NO_FIELD)
+    )
+    record = F.struct(*[found[f.name].alias(f.name) for f in schema.fields])
+    return parsed.select("text", record.alias("record"), reason.alias("reason"))
+
+
 def bad_record_counts(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """One row: how many messages there are and how many hold no usable field."""
     records = decode(messages, schema, on_bad="keep").select(

@@ -103,6 +103,15 @@ def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
         fs.rename(hidden, target)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder or file to a name that is not taken; one step where the store allows."""
+    fs, new = _resolve(spark, target)
+    _, old = _resolve(spark, source)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def remove_file(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, False)

@@ -147,7 +147,11 @@ def _value_parts(spark: SparkSession, folder: str, spec: TableSpec, done: list[W
 
 
 def _partitioned_paths(
-    spark: SparkSession, root: str, spec: TableSpec, values: Iterable[str] | None = None
+    spark: SparkSession,
+    root: str,
+    spec: TableSpec,
+    values: Iterable[str] | None = None,
+    before: tuple[int, int] | None = None,
 ) -> tuple[list[str], list[str]]:
     """Folders to read: of the bases, and of the writes after the newest base."""
     folder = table_path(root, spec)
@@ -155,7 +159,7 @@ def _partitioned_paths(
     newest = folded[-1].version if folded else (-1, -1)
     chosen = None if values is None else set(values)
     base_of = {p.value: p.path for p in _value_parts(spark, f"{folder}/base", spec, folded)}
-    late = [w for w in writes(spark, root, spec) if w.version > newest]
+    late = [w for w in writes(spark, root, spec) if w.version > newest and _precedes(w, before)]
     recent = _value_parts(spark, folder, spec, late)
     return (
         [path for value, path in base_of.items() if chosen is None or value in chosen],
@@ -169,19 +173,29 @@ def partition_values(spark: SparkSession, root: str, spec: TableSpec) -> list[st
     return sorted({path.rsplit("=", 1)[1] for path in paths})
 
 
+def _precedes(write: Write, before: tuple[int, int] | None) -> bool:
+    return before is None or write.version < before
+
+
 def read_table(
-    spark: SparkSession, root: str, spec: TableSpec, values: Iterable[str] | None = None
+    spark: SparkSession,
+    root: str,
+    spec: TableSpec,
+    values: Iterable[str] | None = None,
+    *,
+    before: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Current rows of a table; empty if nothing was written yet.
 
     Filters on key columns reach the Parquet scan. ``values`` of the partition column
-    restrict even the listing to their folders.
+    restrict the read to their folders. ``before`` leaves out the write of that
+    version and later ones, for a writer that adds to what was there.
     """
     folder = table_path(root, spec)
     if spec.partition:
-        folded, done = _partitioned_paths(spark, root, spec, values)
+        folded, done = _partitioned_paths(spark, root, spec, values, before)
     else:
-        late = writes(spark, root, spec)
+        late = [w for w in writes(spark, root, spec) if _precedes(w, before)]
         newest = bases(spark, root, spec)[-1:]
         if spec.mode == "replace":
             late, newest = late[-1:], []

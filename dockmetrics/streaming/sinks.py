@@ -19,7 +19,7 @@ COMPACT_EVERY = 60
 Prepare = Callable[[DataFrame], DataFrame]
 
 
-def _run_of(spark: SparkSession, checkpoint: str, new_run: Callable[[], int]) -> int:
+def run_of(spark: SparkSession, checkpoint: str, new_run: Callable[[], int]) -> int:
     """The run number that belongs to a checkpoint, new for a new checkpoint.
 
     Kept inside the checkpoint, so that both are discarded together.
@@ -60,7 +60,7 @@ def _table_sink(
     unique: bool = False,
 ) -> DataStreamWriter:
     spark = df.sparkSession
-    run = _run_of(spark, checkpoint, lambda: next_run(spark, root, spec))
+    run = run_of(spark, checkpoint, lambda: next_run(spark, root, spec))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         with _adaptive(batch.sparkSession):
@@ -140,7 +140,7 @@ def history_sink(
     the advisory size and split an hour that is far larger than the others.
     """
     spark = status.sparkSession
-    run = _run_of(spark, checkpoint, lambda: next_history_run(spark, path))
+    run = run_of(spark, checkpoint, lambda: next_history_run(spark, path))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = batch.hint("rebalance", "day", "hour") if rebalance else batch
