@@ -17,12 +17,11 @@ The score says which learned language is nearest, not whether any is near. For t
 its length is in none of them. That holds for any number of languages and families.
 
 Rows whose text is null or has no letter get ``und`` with score 0, as do all rows if
-nothing was learned. Languages outside ``FAMILIES`` form a family of their own.
+nothing was learned. Rows that repeat are each judged, and learned from once. Languages outside ``FAMILIES`` form a family of their own.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field, replace
 from itertools import combinations
 
@@ -44,7 +43,12 @@ FAMILIES = {
     "uralic": ("et", "fi", "hu"),
     "turkic": ("az", "kk", "tr", "uz"),
 }
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a text has a character of Unicode's letter categories; numbers of any kind,
+    such as a half or a Roman four, are none."""
+    return any(map(str.isalpha, text))
 
 
 def features(text: str) -> np.ndarray:
@@ -163,7 +167,12 @@ def _sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang
     for lang, n in counts.items():
         share = F.when(F.col(lang_col) == lang, min(1.0, per_language / n)).otherwise(share)
     place = F.pmod(F.xxhash64(F.col(id_col).cast("string"), row_hash(text_col)), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.filter(place < share).select(F.col(lang_col).alias("lang"), whole_text(text_col).alias("text"))
+    # A row that repeats is learned from once, so the bound holds for groups of copies too.
+    row = [F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), whole_text(text_col)) for seed in (1, 2)]
+    chosen = labelled.filter(place < share).select(
+        F.col(lang_col).alias("lang"), whole_text(text_col).alias("text"), row[0].alias("a"), row[1].alias("b")
+    )
+    return chosen.dropDuplicates(["lang", "a", "b"]).select("lang", "text")
 
 
 def fit_language_model(
@@ -180,7 +189,7 @@ def fit_language_model(
 
     @F.pandas_udf("binary")
     def vector(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: features(t).tobytes() if _LETTER.search(t) else None)
+        return texts.map(lambda t: features(t).tobytes() if has_letter(t) else None)
 
     rows = sample.select("lang", vector("text").alias("x")).filter("x is not null").collect()
     if not rows:
@@ -209,7 +218,7 @@ def with_floors(
         found = []
         for text in texts:
             starts = [text[: 1 << k] for k in range(length_class(text))]
-            found.append([float(model.likeness(features(t)[None])[0]) if _LETTER.search(t) else -1.0 for t in starts])
+            found.append([float(model.likeness(features(t)[None])[0]) if has_letter(t) else -1.0 for t in starts])
         return pd.Series(found)
 
     rows = sample.select(F.posexplode(likenesses("text")).alias("at", "like")).filter("like >= 0")
@@ -225,7 +234,7 @@ def language_column(model: LanguageModel, text_col: str = "text") -> Column:
     @F.pandas_udf("lang_pred string, score double" + (", typical boolean" if model.floors else ""))
     def predicted(texts: pd.Series) -> pd.DataFrame:
         langs, scores, typical = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-        written = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
+        written = [i for i, t in enumerate(texts) if t is not None and has_letter(t)]
         for begin in range(0, len(written), 512):
             some = written[begin : begin + 512]
             x = np.stack([features(texts.iat[i]) for i in some])

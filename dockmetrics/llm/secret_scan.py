@@ -9,7 +9,7 @@ Entropy spans: a candidate is a maximal run of token characters. Its character c
 entropy follows from the counts of the window's characters, of which each step
 changes two. The span runs from the first to the last window that reaches the
 threshold. Allow-listed candidates are suppressed: without both a letter and a
-digit, UUIDs, dates and versions, known dummy words, runs that a base span covers.
+digit, UUIDs, dates and versions, known dummy words, spans that lie within a base span.
 
 All expressions are Spark's own. Offsets are code points, ends exclusive. A null
 text is an empty one and has no spans.
@@ -75,14 +75,15 @@ def secret_spans(
 def secret_scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold_shift: float = 0.0
 ) -> DataFrame:
-    """One row per document: id and the spans of each kind; an entropy span that
-    overlaps a base span is suppressed."""
+    """One row per document: id and the spans of each kind. An entropy span that lies
+    within a base span is suppressed, one that reaches beyond it stays whole. A repeated
+    row is judged like any other; other columns are not read."""
     rows = docs.select(F.col(id_col), whole_text(text_col).alias("scanned_text"))
     spans = secret_spans(F.col("scanned_text"), threshold_shift)
     rows = rows.select(id_col, *[c.alias(k) for k, c in spans.items()])
     base = F.concat("assign", "access", "hex")
-    apart = lambda e: ~F.exists(base, lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"]))
-    return rows.withColumn("entropy", F.filter("entropy", apart))
+    within = lambda e: F.exists(base, lambda b: (b["start"] <= e["start"]) & (e["end"] <= b["end"]))
+    return rows.withColumn("entropy", F.filter("entropy", lambda e: ~within(e)))
 
 
 def joined_spans(kinds: tuple[str, ...]) -> Column:

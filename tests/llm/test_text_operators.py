@@ -90,7 +90,7 @@ def spans_brute(text):
                 hot.append(i)
         if hot:
             start, end = m.start() + hot[0], m.start() + hot[-1] + 20
-            if not any(a < end and start < b for a, b in base):
+            if not any(a <= start and end <= b for a, b in base):
                 found["entropy"].append((start, end))
     return found
 
@@ -110,6 +110,22 @@ def test_secret_scan_equals_brute_force(docs_of):
     assert total > 20
 
 
+def test_entropy_reaches_beyond_a_hex_run_inside(docs_of):
+    rng = random.Random(2)
+    outer = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZghjkmnpqrstuvwxyz23456789") for _ in range(n))
+    text = "see " + outer(84) + "deadbeef01234567" * 2 + outer(84) + " end"
+    row = secret_scan.secret_scan(docs_of([(1, text), (1, text)])).collect()
+    assert len(row) == 2 and row[0] == row[1]
+    (hex_start, hex_end), = [tuple(s) for s in row[0]["hex"]]
+    (start, end), = [tuple(s) for s in row[0]["entropy"]]
+    assert start < hex_start and hex_end < end
+    assert {k: [tuple(s) for s in row[0][k]] for k in secret_scan.KINDS} == spans_brute(text)
+
+
+def test_secret_scan_of_an_empty_table(empty_docs):
+    assert secret_scan.secret_scan(empty_docs).collect() == []
+
+
 def test_joined_spans_are_ordered_by_start_then_kind(docs_of):
     text = "token=deadbeefdeadbeefdeadbeefdeadbeef"
     row = secret_scan.secret_scan(docs_of([(1, text)])).select(secret_scan.joined_spans(secret_scan.KINDS).alias("s")).first()
@@ -226,6 +242,55 @@ def test_language_id_separates_languages_and_uses_text_alone(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in tested) / len(tested) > 0.97
 
 
+def test_numbers_of_any_kind_are_no_letters(docs_of):
+    model = language_id.fit_language_model(docs_of([(i, spoken("en", i)) for i in range(9)]))
+    rows = [(1, "½ ² Ⅳ"), (2, "_ 12 ٣"), (3, "² ª"), (4, "日")]
+    judged = docs_of(rows).select("doc_id", language_id.language_column(model).alias("p")).select("doc_id", "p.*")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in judged.collect()}
+    assert found[1] == found[2] == ("und", 0.0)
+    assert found[3][0] == found[4][0] == "en"
+
+
+def test_repeated_rows_do_not_pass_the_bound_of_the_sample(spark):
+    rows = [(1, spoken("en", 1), "en")] * 3000 + [(i, spoken("en", i), "en") for i in range(2, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language_id._sample(docs, "text", "lang", "doc_id", 50)
+    assert sample.count() == sample.distinct().count() <= 50
+
+
+def predict_brute(model, x):
+    """Family of most confidence, then votes of its pairs, one text at a time."""
+    sigmoid = lambda m: 1 / (1 + np.exp(-min(max(m, -30), 30)))
+    row = [*map(float, x), 1.0]
+    dot = lambda w: sum(a * float(b) for a, b in zip(row, w))
+    confidence = [sigmoid(4 * dot(model.family_weights[:, f])) for f in range(len(model.families))]
+    family = max(range(len(confidence)), key=lambda f: (confidence[f], -f))
+    members = model.families[family]
+    votes = dict.fromkeys(members, 0.0)
+    for i, a in enumerate(members):
+        for b in members[i + 1 :]:
+            wins = sigmoid(4 * dot(model.pairs[a, b]))
+            votes[a] += wins
+            votes[b] += 1 - wins
+    best = max(members, key=lambda m: (votes[m], -members.index(m)))
+    return best, confidence[family] * (votes[best] / (len(members) - 1) if len(members) > 1 else 1.0)
+
+
+def test_prediction_equals_brute_force_with_fixed_weights():
+    rng = np.random.default_rng(5)
+    families = [["de", "en", "nl"], ["es", "fr"], ["xx"]]
+    weights = lambda: rng.normal(size=language_id.DIMS + 1).astype(np.float32)
+    pairs = {(a, b): weights() for f in families for i, a in enumerate(f) for b in f[i + 1 :]}
+    model = language_id.LanguageModel(families, np.stack([weights() for _ in families], axis=1), pairs)
+    texts = [spoken(lang, i) for lang in WORDS for i in range(8)]
+    x = np.stack([language_id.features(t) for t in texts])
+    langs, scores = model.predict(x)
+    for row, lang, score in zip(x, langs, scores):
+        expected, value = predict_brute(model, row)
+        assert lang == expected
+        assert abs(score - value) < 1e-4
+
+
 def test_language_id_without_labels(spark, edge_docs, empty_docs):
     for docs in (empty_docs, edge_docs.withColumn("lang", F.lit(None).cast("string"))):
         model = language_id.fit_language_model(docs)

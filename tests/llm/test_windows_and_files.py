@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from dockmetrics.llm import decontamination as dc
 from dockmetrics.llm import queries
+from dockmetrics.llm.simhash_dedup import fingerprint
 from dockmetrics.llm.sharding import allowed_moves, shard_documents
 from dockmetrics.llm.warc import plan_records, read_warc, write_warc
 from dockmetrics.session import shared_folder
@@ -209,12 +210,22 @@ def test_quotas_never_overfill():
 # --- pipeline -------------------------------------------------------------------------------
 
 
+def edits(text, within, beyond=False):
+    """The text with one word changed so that its fingerprint is within (or beyond) so many bits."""
+    words = text.split()
+    for at in range(len(words)):
+        edited = " ".join([*words[:at], "edited", *words[at + 1 :]])
+        apart = (fingerprint(text) ^ fingerprint(edited)).bit_count()
+        if (apart > within) == beyond:
+            return edited
+    raise AssertionError("no such edit")
+
+
 def test_pipeline_stages_on_planted_rows(spark, docs_of):
     item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").orderBy("item_id").first()["text"]
     base = {i: prose(i, 150, 5000) for i in range(12)}
-    near = base[3].split()
-    near[75] = "edited"
-    rows = [*base.items(), (20, base[1] + "\n"), (21, base[2]), (21, base[2]), (22, " ".join(near)), (23, base[4] + " " + item + " " + base[5]), (24, None), (25, "123 !"), (None, base[6])]
+    near, far = edits(base[3], within=2), edits(base[3], within=2, beyond=True)
+    rows = [*base.items(), (20, base[1] + "\n"), (21, base[2]), (21, base[2]), (22, near), (26, far), (23, base[4] + " " + item + " " + base[5]), (24, None), (25, "123 !"), (None, base[6])]
     docs = docs_of(rows)
     kept = {}
     for name, stage in corpus_pipeline.STAGES:
@@ -224,12 +235,25 @@ def test_pipeline_stages_on_planted_rows(spark, docs_of):
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert kept["language_id"] == Counter(i for i, t in rows if i not in (24, 25))
     # the longer of two equal texts stays
-    assert kept["exact_dedup"] == Counter([*(i for i in base if i != 1), 20, 22, 23])
+    assert kept["exact_dedup"] == Counter([*(i for i in base if i != 1), 20, 22, 23, 26])
     assert kept["simhash_dedup"] == kept["exact_dedup"] - Counter([22])
     assert kept["decontamination"] == kept["simhash_dedup"] - Counter([23])
     assert kept["bpe"] == kept["decontamination"]
 
 
+def test_simhash_stage_keeps_the_smallest_id_of_each_component(spark, docs_of):
+    from test_dedup import components_brute
+
+    rows = [(i, prose(i % 20, 14 + i % 2, 30)) for i in range(80)] + [(None, prose(4, 14, 30)), (None, "alone here"), (90, None)]
+    docs = docs_of(rows).withColumn("row_key_1", F.lit("clash")).withColumn("group", F.lit("clash"))
+    prints = {i: fingerprint(t or "") for i, t in rows if i is not None}
+    roots = components_brute(prints, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    expected = sorted([*map(str, set(roots.values())), "None"])
+    found = corpus_pipeline.simhash_stage(spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in found.collect()) == expected
+
+
 def test_language_stage_rejects_what_was_never_learned(spark):
     """Two families of two, as in the given documents: no score can be under a quarter."""
     words = {
