@@ -34,7 +34,14 @@ from dockmetrics.model import (
     TableSpec,
 )
 from dockmetrics.operators import bikes, daily, keyed, stations
-from dockmetrics.plans import StreamConf, run_daily_job, run_stream_job, snapshot, wait
+from dockmetrics.plans import (
+    StreamConf,
+    partials,
+    run_daily_job,
+    run_stream_job,
+    snapshot,
+    wait,
+)
 from dockmetrics.plans.daily import preview
 from dockmetrics.session import shared_folder
 from dockmetrics.sources import (
@@ -222,6 +229,38 @@ def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(read_table(spark, folder, BATCH_STATION_STATUS))
 
 
+def daily_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of all days, from partials that two updates took in."""
+    folder = shared_folder(spark, "partials")
+    for part in _time_slices(fixtures.station_status(spark, sf_dir), 2):
+        write_history(part, f"{folder}/history")
+        partials.update_partials(spark, f"{folder}/partials", f"{folder}/history")
+    return zoneless(
+        partials.daily_from_partials(spark, f"{folder}/partials", _stations(spark, sf_dir), COMPUTED_AT)
+    )
+
+
+def profile_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile from stored sketches; whether its estimates are within their stated error
+    (three deviations) of the exact figures."""
+    folder = shared_folder(spark, "sketches")
+    status = fixtures.station_status(spark, sf_dir)
+    for part in _time_slices(status, 2):
+        write_history(part, f"{folder}/history")
+        partials.update_partials(spark, f"{folder}/partials", f"{folder}/history")
+    found = partials.profile_from_sketches(spark, f"{folder}/partials", ranks=[0.5])
+    exact, middle = daily.profile(status).first().station_count, found.first().seconds[0]
+    below = F.avg((F.col("last_reported") <= middle).cast("int")).alias("rank")
+    rank = status.agg(below).first().rank
+    return found.select(
+        "row_count",
+        "first_reported",
+        "last_reported",
+        (F.abs(F.col("station_count") - exact) <= 0.05 * exact).alias("count_is_close"),
+        F.lit(abs(rank - 0.5) <= 0.05).alias("median_is_close"),
+    )
+
+
 def history_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "history-day")
     write_history(fixtures.station_status(spark, sf_dir), folder)
@@ -674,6 +713,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_station_stats": daily_station_stats,
         "daily_station_stats_by_hour": daily_station_stats_by_hour,
         "daily_job": daily_job,
+        "daily_from_partials": daily_from_partials,
+        "profile_from_sketches": profile_from_sketches,
         "history_day": history_day,
         "history_day_of_month": history_day_of_month,
         "history_with_damaged_files": history_with_damaged_files,
@@ -873,6 +914,11 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY current_range_meters DESC, bike_id, last_reported DESC, station_id LIMIT 3""",
         "top_range_latest": _TOP_RANGE_LATEST,
         "daily_station_stats": f"{daily_by_station} GROUP BY station_id",
+        "daily_from_partials": f"{daily_by_station} GROUP BY station_id",
+        "profile_from_sketches": """
+            SELECT CAST(count(*) AS BIGINT) AS row_count, min(last_reported) AS first_reported,
+                   max(last_reported) AS last_reported, true AS count_is_close, true AS median_is_close
+            FROM status""",
         "daily_station_stats_by_hour": f"""
             SELECT station_id, any_value(station_name) AS station_name, {_DAILY_FIGURES},
                    CAST(hour("timestamp") AS INTEGER) AS hour

@@ -47,8 +47,15 @@ def daily_station_stats(
             F.count_if(F.col("num_bikes_available") == 0).alias("empty_occurrences_24h"),
             F.count_if(F.col("num_docks_available") == 0).alias("full_occurrences_24h"),
         )
-        .withColumn("computation_timestamp", _instant(computed_at))
     )
+    return named_figures(figures, stations, computed_at, by_hour=by_hour)
+
+
+def named_figures(
+    figures: DataFrame, stations: DataFrame, computed_at: datetime, *, by_hour: bool = False
+) -> DataFrame:
+    """Figures per station in the form of the result table: with name and computation time."""
+    figures = figures.withColumn("computation_timestamp", _instant(computed_at))
     named = join_stations(figures, stations.select("station_id", "station_name"), "left")
     extra = ["hour"] if by_hour else []
     return named.select(*BATCH_STATION_STATUS.columns, *extra)

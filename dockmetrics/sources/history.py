@@ -72,15 +72,28 @@ def unreadable_files(
     return _files(spark, path, day, day_of_month)[1]
 
 
-def _files(
-    spark: SparkSession, path: str, day: date | str | None, day_of_month: int | None
-) -> tuple[list[str], list[str]]:
-    """Readable and unreadable files of the chosen days."""
+def history_files(
+    spark: SparkSession, path: str, day: date | str | None = None, *, day_of_month: int | None = None
+) -> list[str]:
+    """The files that ``read_history`` would read."""
     files = [plain_name(f) for f in _history(spark, path, day, day_of_month).inputFiles()]
     if day is not None:
         files = [f for f in files if f"/day={parse_day(day)}/" in f]
     if day_of_month is not None:
         files = [f for f in files if f"-{day_of_month:02d}/hour=" in f]
+    return files
+
+
+def read_history_files(spark: SparkSession, path: str, files: list[str]) -> DataFrame:
+    """The rows of some of a history's files."""
+    return _history(spark, path, None, None, files)
+
+
+def _files(
+    spark: SparkSession, path: str, day: date | str | None, day_of_month: int | None
+) -> tuple[list[str], list[str]]:
+    """Readable and unreadable files of the chosen days."""
+    files = history_files(spark, path, day, day_of_month=day_of_month)
     bad = damaged_files(spark, files)
     return [f for f in files if f not in bad], [f for f in files if f in bad]
 

@@ -22,6 +22,10 @@ def _commits(root: str) -> str:
     return f"{root.rstrip('/')}/_commits"
 
 
+def log_path(root: str, name: str, run: int) -> str:
+    return f"{root.rstrip('/')}/{name}/run={run}"
+
+
 def committed(spark: SparkSession, root: str) -> dict[int, int]:
     """The last complete batch of each run."""
     runs = [name for name in children(spark, _commits(root)) if name.startswith("run=")]
@@ -45,7 +49,7 @@ def write_logs(root: str, run: int, batch_id: int, frames: dict[str, DataFrame])
     if is_committed(spark, root, run, batch_id):
         return
     for name, rows in frames.items():
-        rows.write.mode("overwrite").parquet(f"{root}/{name}/run={run}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{log_path(root, name, run)}/batch_id={batch_id}")
     write_bytes(spark, f"{_commits(root)}/run={run}", str(batch_id).encode())
 
 
