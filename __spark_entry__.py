@@ -69,6 +69,7 @@ from dockmetrics.sources.files import (
     write_bytes,
 )
 from dockmetrics.sources.logs import read_log
+from dockmetrics.sources.versions import merge, read_version
 from dockmetrics.streaming import (
     adding,
     enrich_sink,
@@ -351,6 +352,14 @@ def upsert_and_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, folder, LATEST_STATUS)
 
 
+def merged_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three merges into a table of numbered snapshots, read at its newest version."""
+    folder = shared_folder(spark, "versions")
+    for part in _time_slices(fixtures.station_status(spark, sf_dir)):
+        merge(part, folder, LATEST_STATUS, rows_per_file=50)
+    return read_version(spark, folder, LATEST_STATUS)
+
+
 def snapshot_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "snapshot")
     upsert(_stations(spark, sf_dir), folder, STATION_DIMENSION)
@@ -727,6 +736,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_by_key": latest_by_key,
         "upsert_two_batches": upsert_two_batches,
         "upsert_and_compact": upsert_and_compact,
+        "merged_versions": merged_versions,
         "snapshot_headings": snapshot_headings,
         "snapshot_network_status": snapshot_network_status,
         "snapshot_daily": snapshot_daily,
@@ -949,6 +959,7 @@ def oracle_sql() -> dict[str, str]:
         "latest_by_key": _LATEST_STATUS,
         "upsert_two_batches": _LATEST_STATUS,
         "upsert_and_compact": _LATEST_STATUS,
+        "merged_versions": _LATEST_STATUS,
         "snapshot_headings": """
             SELECT station_id AS "Station_Id", station_name AS "Station_Name",
                    capacity AS "Capacity"

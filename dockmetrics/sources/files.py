@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -129,3 +130,28 @@ def files_below(spark: SparkSession, path: str, suffix: str) -> list[str]:
         if name.endswith(suffix):
             found.append(name.removeprefix(root))
     return sorted(found)
+
+
+def create_new(spark: SparkSession, path: str, content: bytes) -> bool:
+    """Create a file whole, unless it exists; whether it was this call that did. As atomic
+    as the store's rename without overwriting."""
+    fs, target = _resolve(spark, path)
+    folder, name = path.rsplit("/", 1)
+    hidden = f"{folder}/.{name}.{uuid4().hex}"
+    write_bytes(spark, hidden, content)
+    _, source = _resolve(spark, hidden)
+    jvm = spark._jvm
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark._jsparkSession.sessionState().newHadoopConf()
+    )
+    try:
+        context.rename(source, target, options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception.getClass()):
+            raise
+        fs.delete(source, False)
+        return False
+    return True
