@@ -38,6 +38,10 @@ DEFAULT_VERDICT = "allow"
 SEPARATOR = "\u0001"
 
 
+#: Rows of one top label in a slice at most, and the fewest slices.
+SLICE_ROWS, LEAST_SLICES = 250_000, 64
+
+
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path."""
     url = F.coalesce(url, F.lit(""))
@@ -60,9 +64,14 @@ def url_filter(
     rules: DataFrame,
     id_col: str = "page_id",
     url_col: str = "url",
-    slices: int = 64,
+    slices: int | None = None,
 ) -> DataFrame:
-    """id, ``host``, ``path``, ``rule`` (null if none fits) and ``verdict`` of every row."""
+    """id, ``host``, ``path``, ``rule`` (null if none fits) and ``verdict`` of every row.
+
+    A top label's urls are swept in ``slices``, each with all the rules' bounds; by default as
+    many as leave ``SLICE_ROWS`` rows in each if all urls have one top label."""
+    if slices is None:
+        slices = max(LEAST_SLICES, -(-pages.count() // SLICE_ROWS))
     host, path = split_url(F.col(url_col))
     urls = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     urls = urls.groupBy("id", "host", "path").agg(F.count(F.lit(1)).alias("rows"))

@@ -59,6 +59,19 @@ def test_url_filter_equals_brute_force(spark, rows_of):
     assert url_filter(pages.limit(0), rules_frame(spark)).collect() == []
 
 
+def test_slices_grow_with_the_rows_and_clashing_columns_do_not_matter(spark, rows_of, monkeypatch):
+    from dockmetrics.llm import url_filter as module
+
+    monkeypatch.setattr(module, "SLICE_ROWS", 3)
+    monkeypatch.setattr(module, "LEAST_SLICES", 1)
+    rows = [(i, f"http://h{i % 7}.example.net/{'en/' if i % 3 else 'x/'}{i}") for i in range(60)] + [(7, None), (7, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    clash = pages.selectExpr("*", "'c' AS rule", "1 AS slice", "'c' AS top", "'c' AS host", "2 AS id", "3 AS rows")
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    expected = sorted(((i, *judge(u, RULES)) for i, u in rows), key=str)
+    assert rows_of(url_filter(clash, rules_frame(spark)), *columns) == expected
+
+
 # --- secrets ----------------------------------------------------------------------
 
 SECRETS = [
