@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from dockmetrics.functions.text import column_label, display_round, table_label
 from dockmetrics.model import RESULT_TABLES, TableSpec
-from dockmetrics.sources.tables import partition_values, read_table
+from dockmetrics.sources.tables import list_partitions, read_table
 
 logger = logging.getLogger(__name__)
 
@@ -30,21 +30,21 @@ def _head(spark: SparkSession, root: str, spec: TableSpec, n: int) -> DataFrame:
     """The first rows, read here and not later: a damaged file shows only when it is read.
 
     A table laid out by its first serving column is read value by value, newest first,
-    until there are enough rows; older values are not even listed.
+    until there are enough rows: the table is listed once, older values are not read.
     """
 
     def first(rows: DataFrame, most: int) -> list[Row]:
         return display_round(rows.orderBy(*spec.sort_columns()).limit(most)).collect()
 
-    table = read_table(spark, root, spec, [] if spec.partition else None)
-    shape = display_round(table).schema
+    shape = display_round(spark.createDataFrame([], spec.schema)).schema
     if not spec.partition or spec.order[0] != (spec.partition, True):
         return spark.createDataFrame(first(read_table(spark, root, spec), n), shape)
     rows: list[Row] = []
-    for value in reversed(partition_values(spark, root, spec)):
+    listing = list_partitions(spark, root, spec)
+    for value in reversed(listing.values()):
         if len(rows) >= n:
             break
-        rows += first(read_table(spark, root, spec, [value]), n - len(rows))
+        rows += first(read_table(spark, root, spec, [value], listing=listing), n - len(rows))
     return spark.createDataFrame(rows, shape)
 
 

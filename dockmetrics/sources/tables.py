@@ -146,31 +146,38 @@ def _value_parts(spark: SparkSession, folder: str, spec: TableSpec, done: list[W
     return sorted(found)
 
 
-def _partitioned_paths(
-    spark: SparkSession,
-    root: str,
-    spec: TableSpec,
-    values: Iterable[str] | None = None,
-    before: tuple[int, int] | None = None,
-) -> tuple[list[str], list[str]]:
-    """Folders to read: of the bases, and of the writes after the newest base."""
+class Listing(NamedTuple):
+    """The partition folders to read: each value's newest base, and the writes after the fold."""
+
+    folded: dict[str, str]
+    recent: list[Part]
+
+    def values(self) -> list[str]:
+        return sorted({*self.folded, *(part.value for part in self.recent)})
+
+    def paths(self, values: Iterable[str] | None = None) -> tuple[list[str], list[str]]:
+        chosen = set(self.values() if values is None else values)
+        return (
+            [path for value, path in self.folded.items() if value in chosen],
+            [part.path for part in self.recent if part.value in chosen],
+        )
+
+
+def list_partitions(
+    spark: SparkSession, root: str, spec: TableSpec, before: tuple[int, int] | None = None
+) -> Listing:
+    """What a partitioned table holds, for any number of reads of it."""
     folder = table_path(root, spec)
     folded = bases(spark, root, spec)
     newest = folded[-1].version if folded else (-1, -1)
-    chosen = None if values is None else set(values)
     base_of = {p.value: p.path for p in _value_parts(spark, f"{folder}/base", spec, folded)}
     late = [w for w in writes(spark, root, spec) if w.version > newest and _precedes(w, before)]
-    recent = _value_parts(spark, folder, spec, late)
-    return (
-        [path for value, path in base_of.items() if chosen is None or value in chosen],
-        [p.path for p in recent if chosen is None or p.value in chosen],
-    )
+    return Listing(base_of, _value_parts(spark, folder, spec, late))
 
 
 def partition_values(spark: SparkSession, root: str, spec: TableSpec) -> list[str]:
     """The values of the partition column that the table holds, in ascending order."""
-    paths = [path for part in _partitioned_paths(spark, root, spec) for path in part]
-    return sorted({path.rsplit("=", 1)[1] for path in paths})
+    return list_partitions(spark, root, spec).values()
 
 
 def _precedes(write: Write, before: tuple[int, int] | None) -> bool:
@@ -184,16 +191,19 @@ def read_table(
     values: Iterable[str] | None = None,
     *,
     before: tuple[int, int] | None = None,
+    listing: Listing | None = None,
 ) -> DataFrame:
     """Current rows of a table; empty if nothing was written yet.
 
     Filters on key columns reach the Parquet scan. ``values`` of the partition column
     restrict the read to their folders. ``before`` leaves out the write of that
-    version and later ones, for a writer that adds to what was there.
+    version and later ones, for a writer that adds to what was there. ``listing`` is one
+    made before, which is not made again.
     """
     folder = table_path(root, spec)
     if spec.partition:
-        folded, done = _partitioned_paths(spark, root, spec, values, before)
+        listing = listing or list_partitions(spark, root, spec, before)
+        folded, done = listing.paths(values)
     else:
         late = [w for w in writes(spark, root, spec) if _precedes(w, before)]
         newest = bases(spark, root, spec)[-1:]

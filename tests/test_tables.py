@@ -255,3 +255,18 @@ def test_snapshot_reads_the_newest_days_only(spark, tmp_path):
     head = snapshot(spark, root, ["bike_status"])["bike_status"].collect()
     assert [r.abandoned_bikes_count for r in head] == [8] * 20 + [7] * 10
     assert [r.timestamp for r in head] == sorted((r.timestamp for r in head), reverse=True)
+
+
+def test_a_snapshot_lists_a_partitioned_table_once(spark, tmp_path, monkeypatch):
+    from dockmetrics.sources import files, tables
+
+    root = str(tmp_path)
+    row = "day date, timestamp timestamp, abandoned_bikes_count long"
+    for day in range(1, 6):
+        rows = spark.sql(f"select date'2024-01-0{day}' as day, timestamp'2024-01-0{day} 10:00:00' as timestamp, {day}L as abandoned_bikes_count")
+        upsert(spark.createDataFrame(rows.collect(), row), root, BIKE_STATUS)
+    patterns = []
+    monkeypatch.setattr(tables, "matching", lambda s, p: patterns.append(p) or files.matching(s, p))
+    shown = snapshot(spark, root, [BIKE_STATUS.name], n=3)[BIKE_STATUS.name].collect()
+    assert [r.abandoned_bikes_count for r in shown] == [5, 4, 3]
+    assert len(patterns) == len(set(patterns)) == 4
