@@ -178,8 +178,13 @@ def prefix_trie(
         F.count(F.lit(1)).alias("n"), F.min("conv").alias("rep"), F.min("before").alias("before")
     )
     classes = materialize(classes, "trie-classes")
-    siblings = classes.groupBy("k", "pa", "pb").agg((F.count(F.lit(1)) > 1).alias("splits"))
-    opened = materialize(_opened(classes.join(siblings, ["k", "pa", "pb"]), turns, block), "trie-opened")
+    # Only parents whose members diverge, written: a small table then needs no shuffle of the classes.
+    family = ["k", "pa", "pb"]
+    diverging = classes.groupBy(*family).agg(F.count(F.lit(1)).alias("blocks")).filter("blocks > 1")
+    diverging = materialize(diverging.select(*family, F.lit(True).alias("diverges")), "trie-diverging")
+    marked = classes.join(diverging, family, "left")
+    marked = marked.withColumn("splits", F.coalesce("diverges", F.lit(False))).drop("diverges")
+    opened = materialize(_opened(marked, turns, block), "trie-opened")
 
     ends = convs.select("conv").join(_path_ends(blocks), "conv", "left").select(
         "conv", F.coalesce("depth", F.lit(0)).alias("depth"), F.coalesce("ka", F.lit(0)).alias("ka"),
