@@ -98,6 +98,43 @@ def test_lanes_count_like_single_bits(spark):
         assert found & (2**64 - 1) == expected, n
 
 
+@pytest.mark.parametrize("size, length", [(1, 1), (1, 40), (5, 5), (20, 90), (127, 300), (128, 300), (1500, 3100)])
+def test_sliding_fingerprints_equal_those_of_each_window(spark, size, length):
+    rng = random.Random(size)
+    hashes = [rng.getrandbits(64) - (1 << 63) if rng.random() < 0.7 else -1 for _ in range(length)]
+    row = spark.createDataFrame([(hashes, size)], "h array<long>, n int")
+    each = row.select(F.explode(dc.sliding_simhashes(F.col("h"), F.col("n"))).alias("fp")).collect()
+    alone = spark.createDataFrame([(hashes[s : s + size],) for s in range(length - size + 1)], "h array<long>")
+    assert [r["fp"] for r in each] == [r[0] for r in alone.select(dc.simhash(F.col("h"))).collect()]
+
+
+def test_long_items_and_stretches_of_many_anchors(spark, docs_of, monkeypatch):
+    """Items longer than a stretch, several places in one text, rows that repeat, null ids."""
+    monkeypatch.setattr(dc, "STRETCH", 16)
+    items = [(1, prose(31, 90, 3000)), (2, prose(32, 91, 3000)), (3, " ".join([prose(33, 30, 3000)] * 2))]
+    edited = items[1][1].split()
+    edited[40] = "changed"
+    rows = [
+        (5, " ".join([prose(1, 33), items[0][1], prose(2, 70), " ".join(edited), items[0][1]])),
+        (None, items[0][1] + " end"),
+        (6, prose(3, 17) + " " + items[2][1]),
+        (7, prose(4, 200)),
+    ]
+    found = dc.decontaminate(docs_of(rows + rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    similar = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
+    expected = best_windows(rows, items)
+    assert len(found) == len(similar) == len(expected) == 4
+    assert all(abs(similar[k] - expected[k]) < 1e-9 for k in expected)
+
+
+def test_an_item_of_two_thousand_words(spark, docs_of):
+    """Each window of it is printed once, in steps that do not depend on its length."""
+    words = prose(9, 2000, 3000)
+    items = spark.createDataFrame([(1, words)], "item_id long, text string")
+    found = dc.decontaminate(docs_of([(5, prose(3, 50) + " " + words + " " + prose(4, 50)), (6, prose(8, 3000))]), items)
+    assert [(r["doc_id"], r["similarity"], r["start"], r["words"]) for r in found.collect()] == [(5, 1.0, 50, 2000)]
+
+
 def test_items_beyond_the_broadcast_bound_are_shuffled(spark, docs_of, monkeypatch):
     monkeypatch.setattr(dc, "BROADCAST_SHINGLES", 0)
     items = spark.createDataFrame([(1, prose(9, 30))], "item_id long, text string")
