@@ -12,10 +12,11 @@ still cut then are dealt out over the places they hold and the space left, one a
 other, if that cuts fewer documents off. Documents without links fill the shards up.
 
 The law is ``rows``: counts of any two shards differ by one at most. A group larger than a
-shard fills one and then gathers in others. The quota table has shards squared numbers and
+shard gathers in several, as far as other groups leave space. The quota table has shards squared numbers and
 is the only thing the driver sees. Ranks (who is within a quota, which slot a document
 has) are counted in two levels, chunk totals and rows within a chunk, so that no task
-holds a whole shard.
+holds a whole shard. Groups of more than a small share of all rows are so few that their
+keys are broadcast: no join brings the rows of such a group together.
 
 A null text is an empty one; a null id is an id like others. Repeated rows each get a slot.
 """
@@ -33,6 +34,9 @@ SHARDS = 24
 OVERHEAD = 8
 #: A safety limit, logged when it is met.
 ROUNDS = 200
+#: A group is hot from one row more than total / (HOT_PARTS * chunks): there are fewer than
+#: HOT_PARTS * chunks of those, whatever the data.
+HOT_PARTS = 8
 
 _log = logging.getLogger(__name__)
 
@@ -55,10 +59,14 @@ def shard_documents(
     total = base.count()
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
 
-    groups = base.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    linked = base.join(groups, "key", "left_semi").select("rid", "key", F.pmod("rid", F.lit(shards)).cast("int").alias("shard"))
-    linked = propagate(materialize(linked, "sharding-linked"), capacity, chunks, rounds)
-    linked = deal(linked, capacity, chunks)
+    groups = base.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    groups = materialize(groups, "sharding-groups")
+    hot = materialize(groups.filter(F.col("n") > total // (HOT_PARTS * chunks)).select("key"), "sharding-hot")
+    linked = join_groups(base.select("rid", "key"), groups.select("key"), ["key"], hot).withColumn(
+        "shard", F.pmod("rid", F.lit(shards)).cast("int")
+    )
+    linked = propagate(materialize(linked, "sharding-linked"), capacity, chunks, rounds, hot)
+    linked = deal(linked, capacity, chunks, hot)
     held = _held(linked, shards)
 
     free = base.join(linked.select("rid"), "rid", "left_anti").select("rid")
@@ -77,7 +85,16 @@ def shard_documents(
     )
 
 
-def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int) -> DataFrame:
+def join_groups(rows: DataFrame, table: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """The rows with what ``table`` holds for their group (``on`` is its key, or key and
+    shard). Entries of ``hot`` groups are broadcast, their number is bounded; all other groups
+    are small enough to meet in a task."""
+    few = table.join(F.broadcast(hot), "key", "left_semi")
+    of_hot = rows.join(F.broadcast(hot), "key", "left_semi").join(F.broadcast(few), on)
+    return of_hot.unionByName(rows.join(F.broadcast(hot), "key", "left_anti").join(table, on))
+
+
+def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int, hot: DataFrame) -> DataFrame:
     """Moves linked rows (rid, key, shard)."""
     shards, idle = len(capacity), 0
     for number in range(rounds):
@@ -92,7 +109,8 @@ def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int)
             "key", F.col("best.shard").alias("to"), F.col("best.n").alias("there")
         )
         moves = members.join(target, "key").filter((F.col("to") != F.col("shard")) & (F.col("there") >= F.col("n")))
-        asked = linked.join(moves.select("key", "shard", "to"), ["key", "shard"])
+        moves = materialize(moves.select("key", "shard", "to"), "sharding-moves")
+        asked = join_groups(linked, moves, ["key", "shard"], hot)
         asked = materialize(asked.select("rid", "key", "shard", "to"), "sharding-asked")
         wanted = {(r[0], r[1]): r[2] for r in asked.groupBy("shard", "to").agg(F.count(F.lit(1))).collect()}
         quota = allowed_moves(wanted, space)
@@ -114,7 +132,7 @@ def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int)
     return linked
 
 
-def deal(linked: DataFrame, capacity: list[int], chunks: int) -> DataFrame:
+def deal(linked: DataFrame, capacity: list[int], chunks: int, hot: DataFrame) -> DataFrame:
     """Deals the groups that are cut over the places they hold and the space left, so that
     only those at a shard's end stay cut; as they were if that cuts as many rows off."""
     shards = len(capacity)
@@ -122,8 +140,8 @@ def deal(linked: DataFrame, capacity: list[int], chunks: int) -> DataFrame:
     before = _rows_off(cut)
     if not before:
         return linked
-    pool = materialize(linked.join(cut.select("key"), "key", "left_semi"), "sharding-pool")
-    rest = linked.join(cut.select("key"), "key", "left_anti")
+    pool = materialize(join_groups(linked, cut.select("key"), ["key"], hot), "sharding-pool")
+    rest = linked.join(pool.select("rid"), "rid", "left_anti")
     ends, kept = [], _held(rest, shards)
     for c, h in zip(capacity, kept):
         ends.append((ends[-1] if ends else 0) + c - h)
@@ -135,7 +153,8 @@ def deal(linked: DataFrame, capacity: list[int], chunks: int) -> DataFrame:
     starts = groups.withColumn("before_", F.coalesce(F.sum("n").over(within), F.lit(0))).join(offsets, "chunk_").select(
         "key", (F.col("offset_") + F.col("before_")).alias("start")
     )
-    ranked = ranked_rows(pool, ["key"], F.pmod("rid", F.lit(chunks)), ["rid"]).join(starts, "key")
+    ranked = ranked_rows(pool, ["key"], F.pmod("rid", F.lit(chunks)), ["rid"])
+    ranked = join_groups(ranked, materialize(starts, "sharding-starts"), ["key"], hot)
     upper = F.array(*[F.lit(e).cast("long") for e in ends])
     place = F.size(F.filter(upper, lambda u: u <= F.col("start") + F.col("rank")))
     dealt = materialize(ranked.select("rid", "key", place.alias("shard")), "sharding-dealt")

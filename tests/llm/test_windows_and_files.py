@@ -14,7 +14,7 @@ import corpus_pipeline
 from dockmetrics.llm import decontamination as dc
 from dockmetrics.llm import queries
 from dockmetrics.llm.simhash_dedup import fingerprint
-from dockmetrics.llm.sharding import allowed_moves, shard_documents
+from dockmetrics.llm.sharding import allowed_moves, join_groups, shard_documents
 from dockmetrics.llm.warc import plan_records, read_warc, write_warc
 from dockmetrics.session import shared_folder
 
@@ -230,6 +230,37 @@ def test_sharding_limit_of_rounds_is_logged(docs_of, caplog):
     assert "limit of 1 rounds" in caplog.text
 
 
+@pytest.mark.parametrize("hot_keys", [[], ["k0"], ["k0", "k1", "gone"]])
+def test_sharding_joins_of_hot_groups_lose_and_repeat_nothing(spark, hot_keys):
+    rows = [(i, "k0" if i % 3 == 0 else f"k{i % 50}", i % 4) for i in range(600)]
+    table = [(f"k{k}", s, s + 1) for k in range(0, 60, 2) for s in range(3)]
+    df = spark.createDataFrame(rows, "rid long, key string, shard int").repartition(8, "rid")
+    moves = spark.createDataFrame(table, "key string, shard int, to int")
+    hot = spark.createDataFrame([(k,) for k in hot_keys], "key string")
+    to = {(k, s): t for k, s, t in table}
+    found = join_groups(df, moves, ["key", "shard"], hot)
+    assert Counter((r["rid"], r["to"]) for r in found.collect()) == Counter((i, to[k, s]) for i, k, s in rows if (k, s) in to)
+    if hot_keys:
+        # the hot group stays where its rows were
+        spread = found.filter("key = 'k0'").groupBy(F.spark_partition_id()).count().count()
+        assert spread > 1
+
+
+def test_sharding_with_a_hot_group_repeated_rows_and_clashing_columns(docs_of):
+    rows = [(i, "copied" if i % 3 == 0 else f"text {i // 2}") for i in range(240)] + [(1, "text 0")] * 5 + [(None, None)] * 3
+    docs = docs_of(rows)
+    for clash in ("key", "rid", "chunk_", "rank", "n"):
+        docs = docs.withColumn(clash, F.lit("clash"))
+    found = shard_documents(docs, shards=5).collect()
+    sizes = Counter(r["shard"] for r in found)
+    assert len(found) == len(rows) and max(sizes.values()) - min(sizes.values()) <= 1
+    for shard, n in sizes.items():
+        assert sorted(r["slot"] for r in found if r["shard"] == shard) == list(range(n))
+    copies = Counter(r["shard"] for r in found if r["text_crc32"] == zlib.crc32(b"copied"))
+    # 80 copies, more than a shard holds; spread evenly each shard would have 16
+    assert sum(copies.values()) == 80 and max(copies.values()) >= 32
+
+
 def test_sharding_of_few_and_no_rows(docs_of, empty_docs):
     assert shard_documents(empty_docs).collect() == []
     found = shard_documents(docs_of([(1, "a"), (2, "a")]), shards=24).collect()
