@@ -6,12 +6,14 @@ import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockmetrics.session import shared_folder
+from dockmetrics.sources.files import remove_tree
 
 #: The characters of ``[\x20\x09-\x0D]``.
 BLANKS = "[\\x20\\x09-\\x0D]"
@@ -25,7 +27,21 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[written] = path
+    return written
+
+
+#: The folder of each table that ``materialize`` returned.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that ``materialize`` wrote, once all that was derived from them is
+    written too; any other DataFrame is left alone."""
+    for table in tables:
+        if path := _folders.pop(table, None):
+            remove_tree(table.sparkSession, path)
 
 
 _shipped: set[str] = set()

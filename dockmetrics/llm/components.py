@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import materialize
+from dockmetrics.llm.common import discard, materialize
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        stars = materialize(small, "components")
+        earlier, stars = stars, materialize(small, "components")
+        discard(earlier)
         before, state = state, _state(stars)
         if before == state:
             break

@@ -28,7 +28,7 @@ import logging
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import materialize, shuffle_width, whole_text
+from dockmetrics.llm.common import discard, materialize, shuffle_width, whole_text
 
 SHARDS = 24
 OVERHEAD = 8
@@ -95,7 +95,7 @@ def join_groups(rows: DataFrame, table: DataFrame, on: list[str], hot: DataFrame
 
 
 def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int, hot: DataFrame) -> DataFrame:
-    """Moves linked rows (rid, key, shard)."""
+    """Moves linked rows (rid, key, shard); the table of one round replaces that of the round before."""
     shards, idle = len(capacity), 0
     for number in range(rounds):
         space = [c - h for c, h in zip(capacity, _held(linked, shards))]
@@ -116,6 +116,7 @@ def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int,
         quota = allowed_moves(wanted, space)
         if not any(quota.values()):
             idle += 1
+            discard(moves, asked)
             if idle == 2:
                 return linked
             continue
@@ -127,7 +128,8 @@ def propagate(linked: DataFrame, capacity: list[int], chunks: int, rounds: int,
         limit = table[F.col("shard") * shards + F.col("to")]
         going = ranked.filter(F.col("rank") < limit).select("rid", "to")
         moved = linked.join(going, "rid", "left").select("rid", "key", F.coalesce("to", "shard").alias("shard"))
-        linked = materialize(moved, "sharding-linked")
+        earlier, linked = linked, materialize(moved, "sharding-linked")
+        discard(earlier, moves, asked)
     _log.warning("label propagation stopped at its limit of %d rounds with rows still moving", rounds)
     return linked
 
@@ -160,7 +162,9 @@ def deal(linked: DataFrame, capacity: list[int], chunks: int, hot: DataFrame) ->
     dealt = materialize(ranked.select("rid", "key", place.alias("shard")), "sharding-dealt")
     if _rows_off(_cut_groups(dealt)) >= before:
         return linked
-    return materialize(rest.unionByName(dealt), "sharding-linked")
+    joined = materialize(rest.unionByName(dealt), "sharding-linked")
+    discard(linked, pool, dealt)
+    return joined
 
 
 def _held(linked: DataFrame, shards: int) -> list[int]:
