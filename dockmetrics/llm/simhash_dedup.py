@@ -17,8 +17,8 @@ Search: all links between distinct fingerprints at ``radius`` or fewer bits.
 3. Fingerprints probe the partitions, candidates are verified on all bits.
 
 Up to a radius of two, a bucket of more than ``bucket_rows`` fingerprints (a large group
-of near copies) is not joined with itself. Its members are linked through the points one
-bit away that they share: within two bits there is one, and all that share it are within
+of near copies) is not joined with itself or with its probes. These are linked through the
+points one bit away that they share: within two bits there is one, and all that share it are within
 two bits, so they link to the smallest of them. That is exact and linear in the bucket.
 For a larger radius the buckets are compared inside tasks, large ones in blocks, and a
 task returns a spanning forest of what it links, never the pairs.
@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockmetrics.llm.common import materialize, release_memory, shuffle_width, whole_text
+from dockmetrics.llm.common import discard, materialize, release_memory, shuffle_width, whole_text
 from dockmetrics.llm.components import connected_components
 
 BITS = 64
@@ -156,11 +156,14 @@ def near_links(points: DataFrame, radius: int = 2, bucket_rows: int = 128) -> Da
             # Only buckets of two or more can link; the large ones take the other way.
             shared = buckets.filter(F.col("i") == i).select("key", (F.col("n") > bucket_rows).alias("hot"))
             own = own.join(shared, "key")
-            left = own.filter("not hot")
+            left = right = own.filter("not hot")
             dense.append(own.filter("hot").select("fp"))
         else:
-            left = own.select("fp", F.explode(_flips(parts[i], thresholds[i])).alias("flip"), "key").select("fp", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
-        right = own.filter("not hot") if thresholds[i] == 0 else own
+            # What a large bucket holds and what probes it take the other way together.
+            hot = buckets.filter((F.col("i") == i) & (F.col("n") > bucket_rows)).select("key")
+            probes = own.select("fp", F.explode(_flips(parts[i], thresholds[i])).alias("flip"), "key").select("fp", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
+            left, right = probes.join(hot, "key", "left_anti"), own.join(hot, "key", "left_anti")
+            dense.append(probes.join(hot, "key", "left_semi").select("fp"))  # no flip: the bucket's own points
         sparse.append(
             left.select("key", F.col("fp").alias("a"))
             .join(right.select("key", F.col("fp").alias("b")), "key")
@@ -168,7 +171,9 @@ def near_links(points: DataFrame, radius: int = 2, bucket_rows: int = 128) -> Da
             .select("a", "b")
         )
     links = [*sparse, *([_star_links(_union(dense).distinct(), radius)] if dense else [])]
-    return materialize(_union(links), "simhash-links")
+    found = materialize(_union(links), "simhash-links")
+    discard(buckets)
+    return found
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -282,7 +287,9 @@ def _probed_links(points: DataFrame, parts: list[list[int]], thresholds: list[in
         yield from forest.links()
         release_memory()
 
-    return materialize(dealt.mapInArrow(compare, "a long, b long"), "simhash-links")
+    found = materialize(dealt.mapInArrow(compare, "a long, b long"), "simhash-links")
+    discard(stored)
+    return found
 
 
 class _Forest:
