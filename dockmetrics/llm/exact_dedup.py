@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 from dockmetrics.llm.common import BLANKS, materialize, shuffle_width, whole_text
 
 HEAD_CHARS = 64
+#: Runs at the ends of ranges that are broadcast at most, some 50 bytes each.
+EDGE_RUNS = 200_000
 
 
 def exact_dedup(
@@ -90,8 +92,10 @@ def exact_dedup(
         F.col("size").alias("all_size"),
         ((F.col("r.part") == F.col("best.part")) & (F.col("r.run") == F.col("best.run"))).alias("wins"),
     )
-    # Two runs for each range at most, collisions of the 64-bit digest aside.
-    done = runs.join(F.broadcast(stitched), ["part", "run"], "left")
+    # Two runs for each range at most, collisions of the 64-bit digest aside: counted, and
+    # beyond the bound left to the planner.
+    stitched = materialize(stitched, "exact-dedup-edges")
+    done = runs.join(F.broadcast(stitched) if stitched.count() <= EDGE_RUNS else stitched, ["part", "run"], "left")
     cut = F.col("edge")
     return done.select(
         F.col("id").alias(id_col),

@@ -4,12 +4,15 @@ import hashlib
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from dockmetrics.llm import exact_dedup as exact
 from dockmetrics.llm import simhash_dedup as near
+from dockmetrics.llm.common import discard, materialize
 from dockmetrics.llm.components import connected_components
 from dockmetrics.llm.exact_dedup import exact_dedup
 from llm_data import EDGE_ROWS, prose
@@ -93,8 +96,7 @@ def test_simhash_dedup_equals_brute_force(docs_of, rows_of):
     assert sorted(((r[0], r[1], r[2]) for r in found), key=str) == expected
 
 
-@pytest.mark.parametrize(("radius", "bucket_rows"), [(1, 4), (2, 4), (2, 1000), (4, 4), (10, 4)])
-def test_near_links_connect_as_all_pairs_do(spark, radius, bucket_rows):
+def links_connect_as_all_pairs_do(spark, radius, bucket_rows):
     rng = random.Random(radius)
     centres = [rng.getrandbits(64) for _ in range(6)]
     values = set()
@@ -114,6 +116,48 @@ def test_near_links_connect_as_all_pairs_do(spark, radius, bucket_rows):
     assert {n: roots.get(n, n) for n in nodes} == expected
 
 
+@pytest.mark.parametrize(("radius", "bucket_rows"), [(1, 4), (2, 4), (2, 1000), (4, 4), (10, 4)])
+def test_near_links_connect_as_all_pairs_do(spark, radius, bucket_rows):
+    links_connect_as_all_pairs_do(spark, radius, bucket_rows)
+
+
+@pytest.mark.parametrize("chosen", [[1, 0], [2, -1], [0, 1]])
+def test_near_links_at_any_threshold(spark, monkeypatch, chosen):
+    """Large buckets of a partition that is probed with flips too."""
+    parts = [list(range(0, 64, 2)), list(range(1, 64, 2))]
+    monkeypatch.setattr(near, "_partition_numbers", lambda radius: [2])
+    monkeypatch.setattr(near, "group_bits", lambda *args: parts)
+    monkeypatch.setattr(near, "allocate", lambda costs, radius: chosen)
+    links_connect_as_all_pairs_do(spark, 2, 4)
+
+
+def test_simhash_dedup_of_clashing_columns(docs_of, rows_of):
+    docs = docs_of([(1, "a b c d"), (2, "a b c d"), (None, None)])
+    for clash in ("id", "fp", "root", "node", "component_id", "fingerprint", "carry_0"):
+        docs = docs.withColumn(clash, F.lit("clash"))
+    found = near.simhash_dedup(docs)
+    assert found.columns == ["doc_id", "fingerprint", "component_id"]
+    assert sorted((r["doc_id"], r["component_id"]) for r in found.collect() if r["doc_id"]) == [(1, 1), (2, 1)]
+
+
+def test_discarded_tables_are_gone_and_others_are_left(spark):
+    written, other = materialize(spark.range(9), "test"), spark.range(3)
+    folder = Path(written.inputFiles()[0].removeprefix("file:")).parent
+    assert folder.is_dir()
+    discard(written, other)
+    assert not folder.exists()
+    discard(written, other)
+    assert other.count() == 3
+
+
+def test_exact_dedup_beyond_the_bound_of_its_broadcast(docs_of, rows_of, monkeypatch):
+    rows = [(i, "hot text" if i % 3 == 0 else f"text {i % 50}") for i in range(300)]
+    columns = ("doc_id", "keep_id", "group_size", "kept")
+    within = rows_of(exact_dedup(docs_of(rows), partitions=16), *columns)
+    monkeypatch.setattr(exact, "EDGE_RUNS", 0)
+    assert rows_of(exact_dedup(docs_of(rows), partitions=16), *columns) == within
+
+
 def test_allocation_spends_the_radius_and_avoids_costly_partitions():
     costs = [[0, 10, 90, 900], [0, 1000, 9000, 90000], [0, 10, 20, 500]]
     chosen = near.allocate(costs, 2)
