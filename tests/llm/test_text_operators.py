@@ -271,6 +271,55 @@ def test_repeated_rows_do_not_pass_the_bound_of_the_sample(spark):
     assert sample.count() == sample.distinct().count() <= 50
 
 
+def test_language_model_learns_from_every_labelled_row(spark):
+    rows = [(1000 * k + i, spoken(lang, i), lang) for k, lang in enumerate(("en", "de", "fr")) for i in range(90 - 40 * k)]
+    docs = spark.createDataFrame([*rows, rows[0], (9000, "12 !", "en")], "doc_id long, text string, lang string")
+    model = language_id.fit_language_model(docs, per_language=20)
+    # the means are those of all rows, whichever shards they were dealt to
+    for lang, mean in model.means.items():
+        x = np.stack([language_id.features(t) for _, t, found in rows if found == lang]).mean(axis=0)
+        assert np.allclose(mean, x / np.linalg.norm(x), atol=1e-5)
+    assert len(model.means) == 3
+    # the machines change with any row, and not with the split
+    texts = docs.repartition(7)
+    again = language_id.fit_language_model(texts, per_language=20)
+    assert np.array_equal(model.family_weights, again.family_weights)
+    assert np.array_equal(model.pairs["de", "en"], again.pairs["de", "en"])
+    for left_out in (3, 50, 88):
+        fewer = language_id.fit_language_model(docs.filter(F.col("doc_id") != left_out), per_language=20)
+        assert not np.array_equal(model.pairs["de", "en"], fewer.pairs["de", "en"])
+    floors = language_id.with_floors(model, docs, per_language=20).floors
+    for at, floor in floors.items():
+        likes = []
+        for lang, weight in (("en", 1), ("de", 2), ("fr", 5)):  # 91, 50 and 10 rows
+            starts = [t[: 1 << (at - 1)] for _, t, found in rows if found == lang and language_id.length_class(t) >= at]
+            if starts:
+                likes += model.likeness(np.stack([language_id.features(t) for t in starts])).tolist() * weight
+        low, half = np.percentile(likes, [1, 50])
+        assert abs(floor - (2 * low - half)) < 1e-3
+
+
+def test_likeness_of_beginnings():
+    x = np.stack([language_id.features(spoken(lang, 1)) for lang in WORDS])
+    model = language_id.LanguageModel.fit(x, list(WORDS))
+    for text in (spoken("de", 3) * 9, "x", "ΣΣ ΑΣ ΑΣΑ ΟΔΟΣ", "İstanbul 日本 🙂 é", "\ud800a"):
+        starts = [text[: 1 << k] for k in range(language_id.length_class(text))]
+        expected = model.likeness(np.stack([language_id.features(t) for t in starts]))
+        assert np.allclose(model.start_likenesses(starts), expected, atol=1e-6)
+
+
+def test_machines_of_few_rows_equal_those_of_many_dimensions():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 60)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    positive = rng.random(40) < 0.4
+    narrow = x[:, :20] / np.linalg.norm(x[:, :20], axis=1, keepdims=True)
+    # columns of zeros change nothing but the form in which the machine is fitted
+    wide = np.hstack([narrow, np.zeros((40, 60), np.float32)])
+    plain, by_rows = language_id.fit_svm(narrow, positive), language_id.fit_svm(wide, positive)
+    assert np.allclose(plain[:20], by_rows[:20], atol=1e-4) and abs(plain[-1] - by_rows[-1]) < 1e-4
+
+
 def predict_brute(model, x):
     """Family of most confidence, then votes of its pairs, one text at a time."""
     sigmoid = lambda m: 1 / (1 + np.exp(-min(max(m, -30), 30)))
