@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dockmetrics.operators import latest_by_key, network_status, top_range
-from dockmetrics.operators.dimension import join_by_slot, join_stations
+from dockmetrics.operators.dimension import fits_broadcast, join_by_slot, join_stations
 from dockmetrics.sources import read_history, write_history
 
 T0 = 1_704_067_200
@@ -105,3 +105,24 @@ def test_a_hot_hour_is_written_by_several_tasks(spark, settings, status, tmp_pat
     files = list((tmp_path / "history").glob("day=2024-01-01/hour=0/*.parquet"))
     assert len(files) > 1
     assert read_history(spark, str(tmp_path / "history")).count() == ROWS
+
+
+def test_stations_of_small_files_but_many_rows_are_not_broadcast(spark, tmp_path):
+    """Files of consecutive ids and one name are many times smaller than their rows in memory."""
+    ids = spark.range(30_000).selectExpr("cast(id as string) as station_id", "10 as capacity", "repeat('n', 200) as station_name")
+    ids.coalesce(1).write.parquet(f"{tmp_path}/stations")
+    stations = spark.read.parquet(f"{tmp_path}/stations")
+    facts = spark.range(50).selectExpr("cast(id as string) as station_id", "id as bikes")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4m")
+    try:
+        assert not fits_broadcast(stations) and fits_broadcast(stations.limit(1000))
+        for adaptive in ("true", "false"):
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            joined = join_stations(facts.repartition(2), stations)
+            assert joined.count() == 50
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
